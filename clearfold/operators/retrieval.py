@@ -1,20 +1,12 @@
 """Term-vector knowledge store and exact cosine top-k search.
 
-Scoring every question against every chunk is what the operator means, not what it does. A chunk
-that shares only a question's most frequent terms has a cosine of at most
-|those terms| / |question| (Cauchy-Schwarz). So, with a score already reached by k chunks:
+The store is streamed past the broadcast questions. Only the terms a question asks for leave the
+scan; they are brought together once per chunk, narrow, and every question's score with that
+chunk is then summed inside the task. Question-chunk pairs, of which a frequent term makes as
+many as there are chunks, never reach a shuffle: each task passes on its k best per question.
 
-1. count, in one pass, how many chunks hold each question term;
-2. score the chunks holding a question's rarest terms; the k-th best is the score to beat;
-3. drop, per question, the frequent terms that cannot reach that score by themselves, and score
-   the chunks that hold a remaining term.
-
-Ties are kept: a chunk is only passed over when it is strictly below the k-th best. Terms every
-chunk holds thus never pair a question with the whole store, unless nothing better exists.
-
-Each pass streams the store past the broadcast questions; chunks are never shuffled, and what
-reaches a shuffle is the best k per question and task. Questions are broadcast in blocks of a
-bounded number of terms; more questions mean more blocks, not a larger broadcast.
+Questions are broadcast in blocks of a bounded number of terms; more questions mean more blocks,
+not a larger broadcast.
 """
 
 from __future__ import annotations
@@ -32,12 +24,6 @@ from clearfold.settings import NO_ANSWER_DOC, NO_ANSWER_TEXT
 # Question terms broadcast at once, at some 200 bytes each.
 BLOCK_TERMS = 500_000
 
-# Rarest terms are taken for the first scores until they cover this many chunks (or k).
-SEED_CHUNKS = 64
-
-# Slack on the score to beat, far above rounding errors of the bound.
-_SLACK = 1e-9
-
 _CHUNK = ["store_id", "chunk_order"]
 _ASKED = ["store_id", "question_id"]
 
@@ -87,51 +73,37 @@ def _blocks(embedded: DataFrame, block_terms: int) -> list[DataFrame]:
     return [embedded.where(block == b) for b in range(n)]
 
 
-def _ranked_terms(store: DataFrame, embedded: DataFrame) -> DataFrame:
-    """Per store and question, the terms the store holds, rarest first.
+def _scores(store: DataFrame, embedded: DataFrame) -> DataFrame:
+    """Exact cosine of every (question, chunk) that shares a term; meant to be reduced at once.
 
-    before: chunks covered by rarer terms; reach: the best cosine this term and more frequent
-    ones can give; rarer: the rarer terms themselves.
+    The repartition puts a chunk's asked terms into one task, so that grouping by chunk and
+    question needs no exchange of its own. (explode_outer, because for a plain inline Spark adds
+    a filter on the array's size, which would tokenise every text a second time.)
     """
-    asked = embedded.select(
-        "question_id", "q_norm", F.inline(F.arrays_zip("q_terms", "q_counts"))
-    ).withColumnRenamed("q_terms", "term")
-    vocabulary = F.broadcast(asked.select("term").distinct())
-    holders = (
-        store.select("store_id", F.explode_outer("terms").alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("store_id", "term")
-        .agg(F.count(F.lit(1)).alias("chunks"))
+    asked = F.broadcast(
+        embedded.select(
+            "question_id",
+            "q_norm",
+            F.inline(F.arrays_zip("q_terms", "q_counts")).alias("term", "q_tf"),
+        )
     )
-    rarest_first = W.partitionBy(*_ASKED).orderBy("chunks", "term")
-    preceding = rarest_first.rowsBetween(W.unboundedPreceding, -1)
-    onwards = rarest_first.rowsBetween(0, W.unboundedFollowing)
-    energy = F.sum(F.col("q_counts") * F.col("q_counts")).over(onwards)
-    return holders.join(F.broadcast(asked), "term").select(
-        *_ASKED,
-        "term",
-        F.coalesce(F.sum("chunks").over(preceding), F.lit(0)).alias("before"),
-        (F.sqrt(energy.cast("double")) / F.col("q_norm")).alias("reach"),
-        F.collect_list("term").over(preceding).alias("rarer"),
+    held = (
+        store.select(*_CHUNK, "norm", F.explode_outer(F.arrays_zip("terms", "counts")).alias("t"))
+        .select(*_CHUNK, "norm", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
+        .join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
+        .repartition("chunk_order")
     )
-
-
-def _score(store: DataFrame, embedded: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Exact cosine of every (question, chunk) sharing a wanted term, each pair once.
-
-    A pair meets once per shared wanted term and is kept at the rarest of them, so no shuffle
-    is needed to remove repetitions. (explode_outer, here and above: for a plain explode Spark
-    adds a filter on the array's size, which would tokenise every text a second time.)
-    """
-    met = (
-        store.select(*_CHUNK, "terms", "counts", "norm", F.explode_outer("terms").alias("term"))
-        .join(F.broadcast(wanted), ["store_id", "term"])
-        .where(~F.arrays_overlap("rarer", "terms"))
-        .join(F.broadcast(embedded), "question_id")
+    dots = (
+        held.join(asked, "term")
+        .groupBy(*_CHUNK, "question_id")
+        .agg(
+            F.sum(F.col("q_tf") * F.col("tf")).alias("dot"),
+            F.max("norm").alias("norm"),
+            F.max("q_norm").alias("q_norm"),
+        )
     )
-    product = vectors.dot(F.col("q_terms"), F.col("q_counts"), F.col("terms"), F.col("counts"))
-    score = vectors.cosine(product, F.col("q_norm"), F.col("norm"))
-    return met.select(*_ASKED, "chunk_order", score.alias("score"))
+    score = vectors.cosine(F.col("dot"), F.col("q_norm"), F.col("norm"))
+    return dots.select(*_ASKED, "chunk_order", score.alias("score"))
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -140,39 +112,25 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _reaching(ranked: DataFrame, to_beat: Column) -> DataFrame:
-    return ranked.where(F.col("reach") >= to_beat * (1 - _SLACK)).select(*_ASKED, "term", "rarer")
+def _by_block(store: DataFrame, questions: DataFrame, block_terms: int, reduce_scores) -> DataFrame:
+    blocks = _blocks(embed_questions(questions), block_terms)
+    return reduce(DataFrame.unionByName, [reduce_scores(_scores(store, b)) for b in blocks])
 
 
 def similar(
     store: DataFrame, questions: DataFrame, min_score: float, block_terms: int = BLOCK_TERMS
 ) -> DataFrame:
-    """All (question, chunk) pairs with a cosine of at least min_score."""
-
-    def of_block(embedded: DataFrame) -> DataFrame:
-        wanted = _reaching(_ranked_terms(store, embedded), F.lit(float(min_score)))
-        return _score(store, embedded, wanted).where(F.col("score") >= min_score)
-
-    parts = [of_block(b) for b in _blocks(embed_questions(questions), block_terms)]
-    return reduce(DataFrame.unionByName, parts)
+    """All (question, chunk) pairs sharing a term and with a cosine of at least min_score."""
+    return _by_block(
+        store, questions, block_terms, lambda scores: scores.where(F.col("score") >= min_score)
+    )
 
 
 def matches(
     store: DataFrame, questions: DataFrame, k: int, block_terms: int = BLOCK_TERMS
 ) -> DataFrame:
     """The k best chunks per store and question among those that share a term with it."""
-
-    def of_block(embedded: DataFrame) -> DataFrame:
-        ranked = _ranked_terms(store, embedded)
-        seeds = ranked.where(F.col("before") < max(k, SEED_CHUNKS)).select(*_ASKED, "term", "rarer")
-        first = _best(_score(store, embedded, seeds), k)
-        reached = first.where(F.col("rank") == k).select(*_ASKED, F.col("score").alias("to_beat"))
-        known = ranked.join(F.broadcast(reached), _ASKED, "left")
-        wanted = _reaching(known, F.coalesce("to_beat", F.lit(0.0)))
-        return _best(_score(store, embedded, wanted), k)
-
-    parts = [of_block(b) for b in _blocks(embed_questions(questions), block_terms)]
-    return reduce(DataFrame.unionByName, parts)
+    return _by_block(store, questions, block_terms, lambda scores: _best(scores, k))
 
 
 def search(
