@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearfold.operators.retrieval import answer, build_store
+from clearfold.operators.retrieval import answer
 
 BEFORE, AFTER = "before", "after"
 
@@ -27,8 +27,9 @@ def judge(questions: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def both_stores(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Knowledge rows of both phases as one store table, searched in one pass."""
-    return build_store(raw, BEFORE).unionByName(build_store(cleaned, AFTER))
+    """The stores of both phases as one table, searched in one pass."""
+    before = raw.withColumn("store_id", F.lit(BEFORE))
+    return before.unionByName(cleaned.withColumn("store_id", F.lit(AFTER)))
 
 
 def before_after(stores: DataFrame, questions: DataFrame, run_id: str) -> DataFrame:

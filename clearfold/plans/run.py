@@ -97,9 +97,8 @@ def run(
         embedded = store.count()
         keep(counts, "baseline")
         if questions is not None:
-            before = retrieval.build_store(cleaning.knowledge_rows(raw), evaluation.BEFORE)
-            after = store.withColumn("store_id", F.lit(evaluation.AFTER))
-            both = before.unionByName(after)
+            before = retrieval.build_store(cleaning.knowledge_rows(raw))
+            both = evaluation.both_stores(before, store)
             judged = keep(evaluation.before_after(both, questions, run_id), "evaluation")
 
     totals = funnel.first().asDict()

@@ -6,6 +6,9 @@ readers see is decided by the run log alone: a run is published by the one row a
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,27 @@ def export_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one where it names none."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named is None:
+        named = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(named)
+    return named
+
+
+def materialised(rows: DataFrame) -> DataFrame:
+    """Rows that several parts of a plan read, written once to the shared folder.
+
+    Unlike a checkpointed DataFrame the table is columnar: each reader gets only its columns.
+    """
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def run_log(spark: SparkSession, root: str) -> DataFrame:
     """(seq, run_id, status, last_success_run); empty before the first run."""
     try:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -15,6 +14,7 @@ from clearfold.plans import report
 from clearfold.schema import CANONICAL_COLUMNS, ORDER_COLUMN
 from clearfold.settings import ISO_DATE_PATTERN, SOURCES, Thresholds, run_id_of
 from clearfold.sources import canonical
+from clearfold.sources.tables import materialised
 from workload.kb_raw import kb_raw, source_records, table
 
 NOW = datetime(2026, 3, 1, 3, 0, tzinfo=timezone.utc)
@@ -25,15 +25,6 @@ BASELINE_BEFORE = "2026-02-15"
 SIMILAR_FROM = 0.6
 
 
-def materialised(rows: DataFrame) -> DataFrame:
-    """Narrow rows several parts of a query read, computed once in the cluster's shared folder."""
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return rows.checkpoint()
-
-
 # --- cleaning ---------------------------------------------------------------------------------
 
 
@@ -343,8 +334,11 @@ def raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.build_store(cleaning.knowledge_rows(kb_raw(spark, sf_dir)))
 
 
-def cleaned_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.build_store(_cleaned_knowledge(spark, sf_dir))
+def cleaned_store(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """The cleaned knowledge rows' store, written once, since a search reads it several times."""
+    rows = rows if rows is not None else materialised(routed(spark, sf_dir))
+    cleaned = cleaning.cleaned_texts(kb_raw(spark, sf_dir), rows)
+    return materialised(retrieval.build_store(cleaning.knowledge_rows(cleaned)))
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,9 +370,8 @@ def answer_correctness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.judge(asked, answers).select("question_id", "cited_doc", "correct")
 
 
-def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = cleaning.knowledge_rows(kb_raw(spark, sf_dir))
-    stores = evaluation.both_stores(raw, _cleaned_knowledge(spark, sf_dir))
+def _evaluation(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    stores = evaluation.both_stores(raw_store(spark, sf_dir), cleaned_store(spark, sf_dir, rows))
     return evaluation.before_after(stores, questions(spark, sf_dir), RUN_ID)
 
 
@@ -406,7 +399,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialised(routed(spark, sf_dir))
     clean = kept(rows)
     suite = expectations.with_samples(expectations.run_suite(clean), expectations.failure_samples(clean))
-    judged = _evaluation(spark, sf_dir)
+    judged = _evaluation(spark, sf_dir, rows)
     return report.quality_report(
         RUN_ID, cleaning.funnel(rows), suite, _monitor(rows), _lineage(rows), judged
     )
