@@ -113,6 +113,8 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
 
 
 def _by_block(store: DataFrame, questions: DataFrame, block_terms: int, reduce_scores) -> DataFrame:
+    """Reduce the scores of each block of questions, so that whatever is kept per question is
+    bounded per block as well."""
     blocks = _blocks(embed_questions(questions), block_terms)
     return reduce(DataFrame.unionByName, [reduce_scores(_scores(store, b)) for b in blocks])
 
@@ -156,18 +158,28 @@ def search(
     return _best(once, k).select(*_ASKED, "rank", "chunk_order", "score")
 
 
-def cite(store: DataFrame, hits: DataFrame) -> DataFrame:
-    """Hits with their chunk's text and metadata; hits are few, the store is only filtered."""
+def cited_matches(
+    store: DataFrame, questions: DataFrame, k: int, block_terms: int = BLOCK_TERMS
+) -> DataFrame:
+    """Matches with their chunk's text and metadata.
+
+    A block's matches are at most k per store for its bounded number of questions, so they are
+    broadcast and the store, texts included, is only filtered.
+    """
     chunk = store.select(*_CHUNK, "doc_id", "version", "effective_date", "source_uri", "text")
-    return chunk.join(F.broadcast(hits), _CHUNK)
+    return _by_block(
+        store,
+        questions,
+        block_terms,
+        lambda scores: chunk.join(F.broadcast(_best(scores, k)), _CHUNK),
+    )
 
 
 def answer(
     store: DataFrame, questions: DataFrame, stores=("kb",), block_terms: int = BLOCK_TERMS
 ) -> DataFrame:
     """Best chunk's text with its citation; the fallback where nothing shares a term."""
-    hits = matches(store, questions, 1, block_terms)
-    cited = cite(store, hits)
+    cited = cited_matches(store, questions, 1, block_terms)
     asked = questions.withColumn("store_id", F.explode(F.array(*[F.lit(s) for s in stores])))
     return asked.join(cited, _ASKED, "left").select(
         *_ASKED,
@@ -179,10 +191,14 @@ def answer(
     )
 
 
-def hit_at_k(hits: DataFrame, store: DataFrame, expected: DataFrame) -> DataFrame:
-    """Per question with an expected doc (question_id, expect_doc): is it among the hits?"""
-    found = cite(store, hits).select("question_id", F.col("doc_id").alias("expect_doc")).distinct()
-    marked = found.withColumn("hit", F.lit(True))
+def hit_at_k(
+    store: DataFrame, questions: DataFrame, expected: DataFrame, k: int, block_terms: int = BLOCK_TERMS
+) -> DataFrame:
+    """Per question with an expected doc (question_id, expect_doc): is it among its k best?"""
+    found = cited_matches(store, questions, k, block_terms).select(
+        "question_id", F.col("doc_id").alias("expect_doc")
+    )
+    marked = found.distinct().withColumn("hit", F.lit(True))
     return expected.join(marked, ["question_id", "expect_doc"], "left").select(
         "question_id", "expect_doc", F.coalesce("hit", F.lit(False)).alias("hit")
     )

@@ -103,6 +103,13 @@ def test_answers(spark):
         assert (a.answer, a.cited_doc, a.cited_version, a.score) == (NO_ANSWER_TEXT, "-", None, 0.0)
 
 
+def test_answers_by_blocks(spark, corpus):
+    chunks, questions = corpus
+    store, all_asked = store_of(spark, chunks), asked(spark, questions)
+    whole = sorted(map(str, retrieval.answer(store, all_asked).collect()))
+    assert sorted(map(str, retrieval.answer(store, all_asked, block_terms=15).collect())) == whole
+
+
 def test_empty_store(spark):
     got = retrieval.answer(store_of(spark, []), asked(spark, ["refund"])).first()
     assert (got.answer, got.score) == (NO_ANSWER_TEXT, 0.0)
@@ -115,7 +122,7 @@ def test_hits_and_citation_age(spark):
     store = store_of(spark, [(1, "refund days"), (2, "refund refund"), (3, "sla")])
     questions = asked(spark, ["refund", "sla"])
     expected = spark.createDataFrame([(0, "d1"), (1, "d2")], "question_id bigint, expect_doc string")
-    hits = retrieval.hit_at_k(retrieval.matches(store, questions, 2), store, expected)
+    hits = retrieval.hit_at_k(store, questions, expected, 2)
     assert {h.question_id: h.hit for h in hits.collect()} == {0: True, 1: False}
     today = F.lit("2026-01-11").cast("date")
     ages = retrieval.citation_age_days(retrieval.answer(store, questions), today)

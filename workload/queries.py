@@ -385,8 +385,7 @@ def hit_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = retrieval.answer(raw_store(spark, sf_dir), asked).select(
         "question_id", F.col("cited_doc").alias("expect_doc")
     )
-    store = cleaned_store(spark, sf_dir)
-    return retrieval.hit_at_k(retrieval.matches(store, asked, 5), store, expected)
+    return retrieval.hit_at_k(cleaned_store(spark, sf_dir), asked, expected, 5)
 
 
 def citation_age_p95(spark: SparkSession, sf_dir: str) -> DataFrame:
