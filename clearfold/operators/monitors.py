@@ -53,8 +53,9 @@ def check_freshness(
         .when(hours >= sla * thresholds.freshness_warn_ratio, WARN)
         .otherwise(PASS)
     )
-    measured = known.withColumn("hours", hours_since(F.col("loaded_at"), F.lit(now)))
-    return measured.select(
+    since = hours_since(F.col("loaded_at"), F.lit(now))
+    aged = known.where(F.col("loaded_at").isNotNull()).withColumn("hours", since)
+    return aged.select(
         *_check(
             "freshness",
             _named("freshness", F.col("source_type")),

@@ -1,7 +1,8 @@
 """Scans of the three source formats onto canonical records.
 
-Multi-line CSV and JSON array files are read by one task each; deliver many files, JSON lines or
-a table (through `canonicalise`) where a source is large.
+CSV files whose cells may hold line breaks and JSON array files are read by one task each. Where a
+source is large, deliver many files, CSV without such cells (multi_line=False, split freely), JSON
+lines, or any table (through `canonicalise`).
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ def _no_text():
     return F.lit(None).cast("string")
 
 
-def _csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _csv(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
     """All columns as text, named by the header; quotes are doubled inside quoted cells."""
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "encoding": "UTF-8"}
     return spark.read.options(**options).csv(path)
 
 
-def read_tickets(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_tickets(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     mapping = {
         "doc_id": "ticket_id",
         "source_type": F.lit("postgres"),
@@ -36,13 +37,13 @@ def read_tickets(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "ocr_confidence": F.lit(1.0),
         "content": "body",
     }
-    return canonicalise(_csv(spark, path), mapping)
+    return canonicalise(_csv(spark, path, multi_line), mapping)
 
 
-def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     same = ["doc_id", "source_uri", "title", "effective_date", "version", "ocr_confidence", "content"]
     mapping = {c: c for c in same} | {"source_type": F.lit("file")}
-    return canonicalise(_csv(spark, path), mapping)
+    return canonicalise(_csv(spark, path, multi_line), mapping)
 
 
 def read_issues(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:

@@ -39,23 +39,29 @@ def export_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one where it names none."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if named is None:
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the session names in spark.checkpoint.dir.
+
+    Where none is named, a temporary one in local mode, and none at all on a cluster, whose
+    machines could not all see it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and spark.sparkContext.master.startswith("local"):
         named = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(named)
+        spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
 def materialised(rows: DataFrame) -> DataFrame:
-    """Rows that several parts of a plan read, written once to the shared folder.
+    """Rows that several parts of a plan read, written once to the shared folder if there is one.
 
     Unlike a checkpointed DataFrame the table is columnar: each reader gets only its columns.
     """
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    folder = shared_folder(spark)
+    if folder is None:
+        return rows
+    path = f"{folder}/{uuid.uuid4()}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

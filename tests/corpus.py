@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import csv
-import hashlib
 import json
 import re
 import unicodedata
-from datetime import datetime
+from datetime import date
+from functools import cache
+from types import SimpleNamespace
 
 from clearfold.schema import CANONICAL
 
@@ -94,44 +95,63 @@ def records(spark, rows):
     return spark.createDataFrame(full, CANONICAL)
 
 
-def _date(value):
-    if value is None or not value.strip():
-        return None, "missing"
-    for fmt in ("%Y-%m-%d", "%d/%m/%Y", "%d/%m/%y", "%Y/%m/%d"):
-        try:
-            return datetime.strptime(value.strip(), fmt).strftime("%Y-%m-%d"), "ok"
-        except ValueError:
-            pass
-    return value.strip(), "invalid"
+SHAPES = {
+    r"(?P<y>[0-9]{4})-(?P<m>[0-9]{1,2})-(?P<d>[0-9]{1,2})": 0,
+    r"(?P<y>[0-9]{4})/(?P<m>[0-9]{1,2})/(?P<d>[0-9]{1,2})": 0,
+    r"(?P<d>[0-9]{1,2})/(?P<m>[0-9]{1,2})/(?P<y>[0-9]{4})": 0,
+    r"(?P<d>[0-9]{1,2})/(?P<m>[0-9]{1,2})/(?P<y>[0-9]{2})": 2000,
+}
+
+
+def iso_date(value):
+    """ISO text of a day in any accepted shape, None for anything else."""
+    for shape, century in SHAPES.items():
+        m = re.fullmatch(shape, (value or "").strip())
+        if m:
+            year = int(m["y"]) + century - (100 if century and int(m["y"]) >= 69 else 0)
+            try:
+                return date(year, int(m["m"]), int(m["d"])).isoformat()
+            except ValueError:
+                return None
+    return None
 
 
 def model(rows):
-    """Outcome per ingest_seq, worked out one record at a time in input order."""
-    result, live, seen = {}, {}, set()
-    for seq, doc, source, date, version, ocr, content in sorted(rows):
-        composed = unicodedata.normalize("NFC", content or "")
-        trimmed = re.sub(r"\s+", " ", composed).strip()
-        if not trimmed:
-            result[seq] = ("reject", "empty_content")
-            continue
-        digest = hashlib.sha256(f"{source}|{doc}|{trimmed}".encode()).hexdigest()[:16]
-        if digest in seen:
-            result[seq] = ("reject", "duplicate_content_hash")
-            continue
-        seen.add(digest)
-        day, status = _date(date)
-        live.setdefault(doc, []).append((seq, day, status, version, ocr, "�" in composed))
-    for group in live.values():
-        dated = [r for r in group if r[2] == "ok"]
-        best = max(dated, key=lambda r: r[1]) if dated else group[0]
-        for r in group:
-            if r is not best:
-                by = f"superseded_by_{best[3] or best[1]}" if dated else "superseded_no_date"
-                result[r[0]] = ("reject", by)
-            elif r[2] == "missing":
-                result[r[0]] = ("flag", "review_missing_date")
-            elif r[4] < 0.60 or r[5]:
-                result[r[0]] = ("flag", "review_low_ocr")
-            else:
-                result[r[0]] = (None, None)
-    return result
+    """Outcome per ingest_seq, by comparing every record with every other one."""
+    facts = []
+    for seq, doc, source, raw, version, ocr, content in rows:
+        words = unicodedata.normalize("NFC", content or "").split()
+        facts.append(
+            SimpleNamespace(
+                seq=seq, doc=doc, text=" ".join(words), copy_of=(doc, source, " ".join(words)),
+                day=iso_date(raw), undated=not (raw or "").strip(), version=version,
+                doubtful=ocr < 0.60 or "\ufffd" in (content or ""),
+            )
+        )
+
+    earliest = {}
+    for a in facts:
+        earliest[a.copy_of] = min(a.seq, earliest.get(a.copy_of, a.seq))
+
+    def beats(b, a):
+        """Dated before undated, later before earlier day, then input order."""
+        return (b.day is not None, b.day or "", -b.seq) > (a.day is not None, a.day or "", -a.seq)
+
+    @cache
+    def champion(doc):
+        rivals = [b for b in facts if b.doc == doc and b.text and b.seq == earliest[b.copy_of]]
+        return next(b for b in rivals if not any(beats(c, b) for c in rivals))
+
+    def outcome(a):
+        if not a.text:
+            return "reject", "empty_content"
+        if a.seq > earliest[a.copy_of]:
+            return "reject", "duplicate_content_hash"
+        best = champion(a.doc)
+        if best is not a:
+            return "reject", f"superseded_by_{best.version or best.day}" if best.day else "superseded_no_date"
+        if a.undated:
+            return "flag", "review_missing_date"
+        return ("flag", "review_low_ocr") if a.doubtful else (None, None)
+
+    return {a.seq: outcome(a) for a in facts}

@@ -1,7 +1,6 @@
 import re
 import unicodedata
 from collections import Counter
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,30 +47,43 @@ def test_nfc_keeps_null_and_composes_words(spark):
     assert [r[0] for r in got] == [w and unicodedata.normalize("NFC", w) for w in words]
 
 
-@pytest.mark.parametrize(
-    "value",
-    ["2026-02-07", "2026-1-5", "07/02/2026", "7/2/26", "07/02/75", "07/02/68", "07/02/69", "2026/02/07"]
-    + ["2026-13-45", "2026-02-30", "29/02/24", "29/02/23", "0000-01-01", "026-1-1", "+2026-01-01"]
-    + ["", "  ", None, "soon", "2026-02-07T10:00", " 2026-02-07　", "31/12/1999\n", "1/1/1"],
-)
-def test_dates(spark, value):
-    expected = (None, "missing")
-    if value is not None and value.strip():
-        expected = (value.strip(), "invalid")
-        for fmt in ("%Y-%m-%d", "%d/%m/%Y", "%d/%m/%y", "%Y/%m/%d"):
-            try:
-                expected = (datetime.strptime(value.strip(), fmt).strftime("%Y-%m-%d"), "ok")
-                break
-            except ValueError:
-                pass
+DAYS = {
+    "2026-02-07": "2026-02-07",
+    "2026-1-5": "2026-01-05",
+    "07/02/2026": "2026-02-07",
+    "7/2/26": "2026-02-07",
+    "07/02/75": "1975-02-07",
+    "07/02/68": "2068-02-07",
+    "07/02/69": "1969-02-07",
+    "2026/02/07": "2026-02-07",
+    " 2026-02-07\u3000": "2026-02-07",
+    "31/12/1999\n": "1999-12-31",
+    "29/02/24": "2024-02-29",
+    "29/02/00": "2000-02-29",
+}
+NO_DAYS = ["2026-13-45", "2026-02-30", "29/02/23", "0000-01-01", "026-1-1", "+2026-01-01", "2026-00-01"]
+NO_DAYS += ["soon", "2026-02-07T10:00", "1/1/1", "01-02-2026", "2026/02-07", "00/01/2026"]
+
+
+def test_dates(spark):
+    cases = {raw: (day, "ok") for raw, day in DAYS.items()}
+    cases |= {raw: (raw, "invalid") for raw in NO_DAYS}
+    cases |= {raw: (None, "missing") for raw in ("", "  ", "\u00a0", None)}
     raw = F.col("v")
-    row = (
-        spark.createDataFrame([(value,)], "v string")
+    rows = (
+        spark.createDataFrame([(v,) for v in cases], "v string")
         .select("v", dates.parse_date(raw).alias("p"))
-        .select(dates.normalised_date(raw, F.col("p")), dates.date_status(raw, F.col("p")))
-        .first()
+        .select("v", dates.normalised_date(raw, F.col("p")), dates.date_status(raw, F.col("p")))
+        .collect()
     )
-    assert tuple(row) == expected
+    assert {r[0]: (r[1], r[2]) for r in rows} == cases
+
+
+def test_calendar_dates(spark):
+    real = ["2026-02-07", "2026-1-5"]
+    cases = real + ["07/02/26", "2026/02/07", " 2026-02-07", "2026-02-07\n", None] + NO_DAYS
+    got = spark.createDataFrame([(v,) for v in cases], "v string").select("v", dates.is_calendar_date(F.col("v")))
+    assert [r[0] for r in got.collect() if r[1]] == real
 
 
 def test_vectors_count_tokens(spark):
