@@ -267,10 +267,11 @@ def monitor(
     now: datetime,
     thresholds: Thresholds = Thresholds(),
     schema_of: DataFrame | None = None,
+    slas: DataFrame | None = None,
 ) -> DataFrame:
     """All pillar checks: source statistics on the way in, distribution of the cleaned rows."""
     return (
-        check_freshness(stats, now, thresholds)
+        check_freshness(stats, now, thresholds, slas)
         .unionByName(check_volume(stats, baseline, thresholds))
         .unionByName(check_distribution(rows, thresholds))
         .unionByName(check_schema(schema_of if schema_of is not None else rows))

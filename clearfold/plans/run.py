@@ -51,10 +51,13 @@ def run(
     loaded_at: Mapping[str, datetime] | None = None,
     questions: DataFrame | None = None,
     thresholds: Thresholds = Thresholds(),
+    slas: DataFrame | None = None,
+    warn_low_ocr: bool = False,
 ) -> RunResult:
     """Run over canonical records per source, writing every table under `root`.
 
-    `questions`: question_id, question, expect_keywords, stale_marker.
+    `questions`: question_id, question, expect_keywords, stale_marker. `slas`: source_type,
+    sla_hours, where sources differ. `warn_low_ocr` adds the check of kept but doubtful scans.
     """
     run_id = run_id_of(now)
 
@@ -76,12 +79,10 @@ def run(
         in_store_order, *[c for c in routed.columns if c != ORDER_COLUMN]
     )
     baseline = tables.load_baseline(spark, root)
-    checks = keep(
-        monitors.monitor(kept, stats, baseline, now, thresholds, schema_of=raw).unionByName(
-            monitors.check_low_ocr(kept, thresholds)
-        ),
-        "checks",
-    )
+    checks = monitors.monitor(kept, stats, baseline, now, thresholds, raw, slas)
+    if warn_low_ocr:
+        checks = checks.unionByName(monitors.check_low_ocr(kept, thresholds))
+    checks = keep(checks, "checks")
 
     results = keep(expectations.run_suite(kept), "suite_results")
     embedded, halted, suite, judged = 0, None, results, None

@@ -142,6 +142,27 @@ def test_halted_run_publishes_nothing(spark, faulty, root, published):
     assert tables.read_published(spark, str(root), "store").count() == 7
 
 
+def test_run_without_any_record(spark, tmp_path):
+    empty = write_sources(tmp_path / "empty", [], [], [])
+    by_source = {
+        "postgres": readers.read_tickets(spark, f"{empty}/tickets.csv"),
+        "file": readers.read_documents(spark, f"{empty}/documents.csv"),
+    }
+    result = plan.run(spark, by_source, str(tmp_path / "root"), NOW)
+    assert (result.status, result.worst, result.embedded) == ("PUBLISHED", "WARN", 0)
+    assert set(result.funnel.values()) == {0}
+    assert tables.read(spark, str(tmp_path / "root"), "quarantine", RUN).count() == 0
+
+
+def test_slas_and_low_ocr_are_optional_checks(spark, good, tmp_path):
+    by_source = {"file": readers.read_documents(spark, f"{good}/documents.csv")}
+    slas = spark.createDataFrame([("file", 1.0)], "source_type string, sla_hours double")
+    loaded_at = {"file": NOW - timedelta(hours=1)}
+    plan.run(spark, by_source, str(tmp_path), NOW, loaded_at, slas=slas, warn_low_ocr=True)
+    checks = {c["name"]: c["status"] for c in tables.read(spark, str(tmp_path), "checks", RUN).collect()}
+    assert checks["freshness[file]"] == "PAGE" and checks["low_ocr"] == "PASS"
+
+
 def test_roll_back(spark, good, tmp_path):
     root = str(tmp_path)
     with pytest.raises(ValueError):
