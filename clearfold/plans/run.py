@@ -125,9 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--now", help="the run's clock, ISO 8601")
     args = p.parse_args(argv)
 
-    spark = (
-        SparkSession.builder.appName("clearfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    )
+    builder = SparkSession.builder.appName("clearfold").config("spark.sql.session.timeZone", "UTC")
+    spark = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     by_source = {
         "postgres": readers.read_tickets(spark, args.tickets),
         "jira": readers.read_issues(spark, args.issues, args.issue_lines),

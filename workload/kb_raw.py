@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clearfold.schema import CANONICAL_COLUMNS, ORDER_COLUMN
 from clearfold.settings import REPLACEMENT_CHAR
+from clearfold.sources.canonical import canonicalise
+
+
+# Schemas of the tables read, so that no job has to look them up.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "benchmark": "item_id bigint, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
@@ -15,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -
     The test tables are single-file, single-row-group, so one task would do all the text work.
     A table of many splits, as on a cluster, is left as it was read.
     """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if key and rows.rdd.getNumPartitions() < cores:
         return rows.repartition(cores, key)
@@ -26,34 +35,28 @@ def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as a source would hand them over: unparsed dates and OCR confidence as text."""
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    n = F.col("doc_id")
-    day = F.date_add(F.lit("2026-01-01").cast("date"), ((n * 7) % 60).cast("int"))
-    shape = n % 10
-    dated = (
-        F.when(shape == 6, F.date_format(day, "dd/MM/yyyy"))
-        .when(shape == 7, F.date_format(day, "dd/MM/yy"))
-        .when(shape == 8, F.date_format(day, "yyyy/MM/dd"))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
-    )
-    source = F.when(F.col("lang") == "de", "postgres").when(F.col("lang") == "es", "jira").otherwise("file")
-    return docs.join(labels, "doc_id", "left").select(
-        n.alias(ORDER_COLUMN),
-        F.substring(F.sha2(F.substring("text", 1, 48), 256), 1, 12).alias("doc_id"),
-        source.alias("source_type"),
-        F.concat(source, F.lit("/"), n.cast("string")).alias("source_uri"),
-        F.substring_index("text", "\n", 1).alias("title"),
-        F.when(n % 50 == 9, None).when(n % 50 == 19, "2026-13-45").otherwise(dated).alias("effective_date"),
-        F.when(n % 4 == 3, "").otherwise(F.concat(F.lit("v"), (n % 4 + 1).cast("string"))).alias("version"),
-        F.when(F.col("quality") == 0, "0.55").when(F.col("quality") == 1, "0.95").alias("ocr_confidence"),
-        F.when(n % 97 == 13, "   ")
-        .when(n % 89 == 5, F.concat("text", F.lit(" " + REPLACEMENT_CHAR)))
-        .otherwise(F.col("text"))
-        .alias("content"),
+    day = "date_add(date'2026-01-01', int(doc_id * 7 % 60))"
+    source = "CASE lang WHEN 'de' THEN 'postgres' WHEN 'es' THEN 'jira' ELSE 'file' END"
+    return docs.join(labels, "doc_id", "left").selectExpr(
+        f"doc_id AS {ORDER_COLUMN}",
+        "substring(sha2(substring(text, 1, 48), 256), 1, 12) AS doc_id",
+        f"{source} AS source_type",
+        f"concat({source}, '/', string(doc_id)) AS source_uri",
+        "substring_index(text, '\\n', 1) AS title",
+        f"""CASE WHEN doc_id % 50 = 9 THEN NULL
+                 WHEN doc_id % 50 = 19 THEN '2026-13-45'
+                 WHEN doc_id % 10 = 6 THEN date_format({day}, 'dd/MM/yyyy')
+                 WHEN doc_id % 10 = 7 THEN date_format({day}, 'dd/MM/yy')
+                 WHEN doc_id % 10 = 8 THEN date_format({day}, 'yyyy/MM/dd')
+                 ELSE date_format({day}, 'yyyy-MM-dd') END AS effective_date""",
+        "CASE WHEN doc_id % 4 = 3 THEN '' ELSE concat('v', doc_id % 4 + 1) END AS version",
+        "CASE quality WHEN 0 THEN '0.55' WHEN 1 THEN '0.95' END AS ocr_confidence",
+        f"""CASE WHEN doc_id % 97 = 13 THEN '   '
+                 WHEN doc_id % 89 = 5 THEN concat(text, ' {REPLACEMENT_CHAR}')
+                 ELSE text END AS content""",
     )
 
 
 def kb_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from clearfold.sources.canonical import canonicalise
-
     handed = source_records(spark, sf_dir)
     return canonicalise(handed, {c: c for c in CANONICAL_COLUMNS})
