@@ -9,7 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,23 @@ def scratch(spark: SparkSession) -> str:
     return f"{folder}/{uuid.uuid4()}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
 def written(rows: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and safe from lost executors."""
     path = scratch(rows.sparkSession)
@@ -54,7 +73,8 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def id_and_bytes(docs: DataFrame, *more: Column) -> DataFrame:
-    """(doc_id, text as UTF-8, empty for null) and further columns; others are left behind."""
+    """(doc_id, text as UTF-8, empty for null) and further columns, for Python to read."""
+    ship(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     return docs.select(F.col("doc_id").cast("long"), text, *more)
 

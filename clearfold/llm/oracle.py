@@ -14,3 +14,41 @@ WITH t AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
+
+ORACLE["op9_preference_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, min(row(coalesce(role, ''), coalesce(text, ''))) AS said
+    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+), last AS (
+    SELECT conv_id, max(turn) AS last FROM turns WHERE said[1] = 'assistant' GROUP BY conv_id
+), chosen AS (
+    SELECT conv_id AS pair_id, turn, said FROM turns JOIN last USING (conv_id) WHERE turn <= last
+), rejected AS (
+    SELECT pair_id, turn, said FROM chosen JOIN last ON pair_id = conv_id WHERE turn < last
+    UNION ALL
+    SELECT l.conv_id, l.last, t.said FROM last l
+    JOIN last o ON o.conv_id = xor(l.conv_id, 1) JOIN turns t ON t.conv_id = o.conv_id AND t.turn = o.last
+), paired AS (
+    SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, c.said AS c, r.said AS r
+    FROM chosen c FULL JOIN rejected r ON c.pair_id = r.pair_id AND c.turn = r.turn
+), cut AS (
+    SELECT *, coalesce(turn < min(turn) FILTER (c IS DISTINCT FROM r) OVER (PARTITION BY pair_id), true) AS same FROM paired
+), parts AS (
+    SELECT pair_id, 'prompt' AS part, turn, c AS said FROM cut WHERE same AND c IS NOT NULL
+    UNION ALL SELECT pair_id, 'chosen', turn, c FROM cut WHERE NOT same AND c IS NOT NULL
+    UNION ALL SELECT pair_id, 'rejected', turn, r FROM cut WHERE NOT same AND r IS NOT NULL
+), rendered AS (
+    SELECT pair_id, part, turn, said[1] AS role,
+        '<|im_start|>' || said[1] || chr(10) || said[2] || '<|im_end|>' || chr(10) AS rendered,
+        12 + length(said[1]) + 1 AS head
+    FROM parts
+), placed AS (
+    SELECT *, length(rendered) AS length, coalesce(sum(length(rendered)) OVER (
+        PARTITION BY pair_id, part ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM rendered
+)
+SELECT pair_id, part, turn, role, rendered, start, length,
+    CASE WHEN part <> 'prompt' AND role = 'assistant' THEN start + head END AS train_from,
+    CASE WHEN part <> 'prompt' AND role = 'assistant' THEN start + length - 1 END AS train_to
+FROM placed
+"""

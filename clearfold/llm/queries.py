@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm.common import table
+from clearfold.llm import bpe, chat, pieces
+from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
 
@@ -14,6 +15,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ExactDuplicates(table(spark, sf_dir, "documents")).result()
 
 
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
+
+
+def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against the same with its neighbour's last answer."""
+    turns = chat.turns_of(table(spark, sf_dir, "conversations"))
+    return chat.format_preferences(*chat.with_other_answer(turns))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op9_preference_format": op9_preference_format,
+    "op10_token_counts": op10_token_counts,
 }
