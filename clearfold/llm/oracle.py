@@ -52,3 +52,76 @@ SELECT pair_id, part, turn, role, rendered, start, length,
     CASE WHEN part <> 'prompt' AND role = 'assistant' THEN start + length - 1 END AS train_to
 FROM placed
 """
+
+# The distances are judged by the limits of quality.Limits.
+ORACLE["op8_quality_divergence"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+        regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS packed
+    FROM d
+), win AS (
+    SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM w WHERE len(words) >= 5
+), keyed AS (
+    SELECT doc_id, i, words[i : i + 4] AS key FROM win
+), rep AS (
+    SELECT doc_id, i FROM keyed QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1
+), cov AS (
+    SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS c FROM rep
+), covered AS (
+    SELECT doc_id, sum(c) AS n FROM cov GROUP BY doc_id
+), base AS (
+    SELECT w.doc_id, lang, words, length(text)::DOUBLE AS n_chars, len(words) AS n_words, length(packed) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+        list_transform([
+            length(text) - length(regexp_replace(text, '[a-z]', '', 'g')),
+            length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')),
+            length(text) - length(regexp_replace(text, '[0-9]', '', 'g')),
+            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')),
+            length(text) - length(packed),
+            length(text) - length(regexp_replace(text, '[!"''()+,\-./:;=?@\[\]\\^_`{}~]', '', 'g'))],
+            lambda x: x::DOUBLE) AS named
+    FROM w LEFT JOIN covered c ON c.doc_id = w.doc_id
+), classed AS (
+    SELECT *, list_append(named, n_chars - list_sum(named)) AS classes FROM base
+), wc AS (
+    SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(words) AS word FROM base) GROUP BY lang, word
+), tot AS (
+    SELECT lang, sum(n) AS total FROM wc GROUP BY lang ORDER BY total DESC, lang LIMIT 16
+), ranked AS (
+    SELECT lang, word, n / total AS share, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r
+    FROM wc JOIN tot USING (lang) QUALIFY r <= 10
+), wref AS (
+    SELECT lang AS ref, list(word ORDER BY r) AS ref_words, list(share ORDER BY r) AS shares FROM ranked GROUP BY lang
+), csum AS (
+    SELECT lang AS ref, list_value(sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]),
+        sum(classes[5]), sum(classes[6]), sum(classes[7])) AS sums FROM classed GROUP BY lang
+), refs AS (
+    SELECT ref, ref_words, list_append(shares, 1 - list_sum(shares)) AS wq,
+        list_transform(sums, lambda x: x / list_sum(sums)) AS cq
+    FROM wref JOIN csum USING (ref)
+), near AS (
+    SELECT doc_id, cq, wq, list_transform(classes, lambda x: x / n_chars) AS cp,
+        list_transform(ref_words, lambda c: len(list_filter(words, lambda x: x = c)) / n_words) AS wp
+    FROM classed, refs WHERE n_words > 0
+), pq AS (
+    SELECT doc_id, list_zip(cp, cq) AS c, list_zip(list_append(wp, 1 - list_sum(wp)), wq) AS w FROM near
+), dist AS (
+    SELECT doc_id,
+        min(sqrt(greatest(0, list_sum(list_transform(c, lambda x:
+            CASE WHEN x[1] > 0 THEN x[1] * log2(x[1] / ((x[1] + x[2]) / 2)) ELSE 0 END +
+            CASE WHEN x[2] > 0 THEN x[2] * log2(x[2] / ((x[1] + x[2]) / 2)) ELSE 0 END)) / 2))) AS dc,
+        min(sqrt(greatest(0, list_sum(list_transform(w, lambda x:
+            CASE WHEN x[1] > 0 THEN x[1] * log2(x[1] / ((x[1] + x[2]) / 2)) ELSE 0 END +
+            CASE WHEN x[2] > 0 THEN x[2] * log2(x[2] / ((x[1] + x[2]) / 2)) ELSE 0 END)) / 2))) AS dw
+    FROM pq GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+    (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+        AND (n_chars < 200 OR coalesce(dc, 0) <= 0.30) AND (n_words < 60 OR coalesce(dw, 0) <= 0.31)) AS kept
+FROM classed LEFT JOIN dist USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, pieces
+from clearfold.llm import bpe, chat, pieces, quality
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
@@ -19,6 +19,11 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
 
 
+def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.quality(table(spark, sf_dir, "documents"))
+    return judged.drop("class_distance", "word_distance")
+
+
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation against the same with its neighbour's last answer."""
     turns = chat.turns_of(table(spark, sf_dir, "conversations"))
@@ -32,6 +37,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_quality_divergence": op8_quality_divergence,
     "op9_preference_format": op9_preference_format,
     "op10_token_counts": op10_token_counts,
 }
