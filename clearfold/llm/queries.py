@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, pieces, quality
+from clearfold.llm import bpe, chat, pieces, quality, toxicity
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ExactDuplicates(table(spark, sf_dir, "documents")).result()
 
@@ -35,6 +39,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_quality_divergence": op8_quality_divergence,
