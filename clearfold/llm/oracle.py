@@ -125,3 +125,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         AND (n_chars < 200 OR coalesce(dc, 0) <= 0.30) AND (n_words < 60 OR coalesce(dw, 0) <= 0.31)) AS kept
 FROM classed LEFT JOIN dist USING (doc_id)
 """
+
+ORACLE["op1_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' ')) END) AS shingle
+    FROM w
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), sym AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS component FROM documents
+    UNION
+    SELECT sym.b, reach.component FROM reach JOIN sym ON sym.a = reach.doc_id AND reach.component < sym.b
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(component) AS component_id, d.doc_id = min(component) AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+"""

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, pieces, quality, toxicity
+from clearfold.llm import bpe, chat, near, pieces, quality, toxicity
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,6 +43,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
