@@ -152,3 +152,24 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(component) AS component_id, d.doc_id = min(component) AS kept
 FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
 """
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+    SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS key
+    FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)
+), gone AS (
+    SELECT doc_id, i FROM win QUALIFY doc_id > min(doc_id) OVER (PARTITION BY key)
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM gone
+), listed AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), kept AS (
+    SELECT l.doc_id, string_agg(word, ' ' ORDER BY l.i) AS kept, count(*) AS n
+    FROM listed l ANTI JOIN covered c ON c.doc_id = l.doc_id AND c.i = l.i GROUP BY l.doc_id
+)
+SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(k.n, 0) AS n_removed,
+    sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, near, pieces, quality, toxicity
+from clearfold.llm import bpe, chat, near, pieces, quality, substrings, toxicity
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
@@ -19,6 +19,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ExactDuplicates(table(spark, sf_dir, "documents")).result()
 
@@ -45,6 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_quality_divergence": op8_quality_divergence,
