@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, near, pieces, quality, substrings, toxicity
+from clearfold.llm import bpe, chat, near, packing, pieces, quality, substrings, toxicity
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
@@ -27,6 +27,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ExactDuplicates(table(spark, sf_dir, "documents")).result()
 
 
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken")
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_retrieval_packing": op6_retrieval_packing,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_quality_divergence": op8_quality_divergence,
     "op9_preference_format": op9_preference_format,
