@@ -173,3 +173,38 @@ SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(k.n, 0) AS n_remov
     sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept k ON k.doc_id = w.doc_id
 """
+
+# crc32 of a decimal id by its definition, bit by bit.
+ORACLE["op4_lm_scores"] = r"""
+WITH RECURSIVE crc(doc_id, k, c) AS (
+    SELECT doc_id, 0, 4294967295::UBIGINT FROM documents
+    UNION ALL
+    SELECT doc_id, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END
+    FROM (SELECT doc_id, k, CASE WHEN k % 8 = 0 THEN xor(c, ascii(substr(doc_id::VARCHAR, k // 8 + 1, 1))::UBIGINT) ELSE c END AS c
+        FROM crc WHERE k < 8 * length(doc_id::VARCHAR))
+), held AS (
+    SELECT doc_id, xor(c, 4294967295::UBIGINT) % 7 = 2 AS held_out FROM crc WHERE k = 8 * length(doc_id::VARCHAR)
+), t AS (
+    SELECT doc_id, held_out, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS tokens
+    FROM documents JOIN held USING (doc_id)
+), e AS (
+    SELECT doc_id, held_out, unnest(tokens) AS w, generate_subscripts(tokens, 1) AS i FROM t
+), g AS (
+    SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS h FROM e
+), c1 AS (
+    SELECT w, count(*) AS c FROM g WHERE NOT held_out GROUP BY w
+), c2 AS (
+    SELECT h, w, count(*) AS c FROM g WHERE NOT held_out AND h IS NOT NULL GROUP BY h, w
+), total AS (
+    SELECT sum(c)::BIGINT AS n, count(*) AS v FROM c1
+), p AS (
+    SELECT doc_id, held_out, i, g.h, c1.c IS NOT NULL AS known, (coalesce(c1.c, 0) + 1) / (n + v + 1) AS p1,
+        coalesce(c2.c, 0) AS both_c, coalesce(s.c, 0) AS state_c, n
+    FROM g CROSS JOIN total LEFT JOIN c1 ON c1.w = g.w LEFT JOIN c1 s ON s.w = g.h LEFT JOIN c2 ON c2.h = g.h AND c2.w = g.w
+)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known, n AS train_tokens,
+    round(kahan_sum(log10(p1)), 6) AS base_score,
+    round(kahan_sum(log10(CASE WHEN h IS NULL THEN p1 ELSE (both_c + 8.0 * p1) / (state_c + 8.0) END)), 6) AS score
+FROM p GROUP BY doc_id, held_out, n
+"""

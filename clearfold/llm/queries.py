@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, near, packing, pieces, quality, substrings, toxicity
+from clearfold.llm import bpe, chat, lm, near, packing, pieces, quality, substrings, toxicity
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
@@ -23,6 +23,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.scores(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: lm.rounded(scored[c]) for c in ("base_score", "score")})
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ExactDuplicates(table(spark, sf_dir, "documents")).result()
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_lm_scores": op4_lm_scores,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_bpe_round_trip": op7_bpe_round_trip,
