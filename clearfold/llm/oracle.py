@@ -205,6 +205,6 @@ WITH RECURSIVE crc(doc_id, k, c) AS (
 )
 SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known, n AS train_tokens,
     round(kahan_sum(log10(p1)), 6) AS base_score,
-    round(kahan_sum(log10(CASE WHEN h IS NULL THEN p1 ELSE (both_c + 8.0 * p1) / (state_c + 8.0) END)), 6) AS score
+    round(kahan_sum(log10(CASE WHEN h IS NULL THEN p1 ELSE (both_c + 500.0 * p1) / (state_c + 500.0) END)), 6) AS score
 FROM p GROUP BY doc_id, held_out, n
 """

@@ -18,6 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -177,3 +178,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, one_space: bool = True
 def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = remove_repeats(docs, window)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _rewritten(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [n for n in batch.schema.names if n != "values"]
+        place = batch.schema.get_field_index("text")
+        texts = []
+        for cut in _removed([batch.set_column(place, "text", _as_bytes(batch.column(place)))], window, False):
+            gone, kept = cut.column("n_removed").to_pylist(), cut.column("kept").to_pylist()
+            texts += [k.decode() if g else None for g, k in zip(gone, kept)]
+        texts = pa.array(texts, pa.string())
+        same = batch.column(place).cast(pa.string())
+        out = batch.set_column(place, "text", pc.coalesce(texts, same))
+        yield out.select(names)
+
+
+def _as_bytes(texts: pa.Array) -> pa.Array:
+    return pc.fill_null(texts.cast(pa.string()), "").cast(pa.binary())
+
+
+def rewrite(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of `docs` with repeats cut out of `text`; everything else stays, white space too."""
+    found = repeated_windows(docs, window).groupBy("doc_id").agg(F.collect_set("value").alias("values"))
+    joined = docs.join(found, "doc_id", "left").select(*docs.columns, "values")
+    return joined.mapInArrow(partial(_rewritten, window=window), docs.schema)
