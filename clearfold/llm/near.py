@@ -33,7 +33,10 @@ PACKED = MINIMA * BITS // 64
 EVERY_NIBBLE = 0x1111111111111111
 PERCENT = 75
 LEAST_ESTIMATE = 0.5
-BLOCK = 256
+# Buckets of up to SMALL members are compared by a join; larger ones in blocks of so many members
+# or shingles, whichever is reached first.
+SMALL = 32
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 1 << 20
 
 _FLIP = seeds(MINIMA, 11)
 _TIMES = seeds(MINIMA, 12) | np.uint64(1)
@@ -174,16 +177,30 @@ def _links_in_block(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _within_buckets(buckets: DataFrame, sets: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links that join components which share a bucket. Blocks meet in pairs, and each with itself."""
-    labelled = buckets.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "doc_id"))
-    mixed = labelled.groupBy("key").agg(
-        F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("n")
-    )
-    blocks = F.ceil(F.col("n") / BLOCK)
-    mixed = mixed.where("least <> most").select("key", blocks.cast("int").alias("blocks"))
-    rows = labelled.join(mixed, "key")
+def _confirm(pairs: DataFrame, light: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links: first by sizes and estimate, then on the full sets."""
+    left, right = (light.select(*[F.col(c).alias(f"{c}_{k}") for c in light.columns]) for k in "ab")
+    rated = pairs.join(left, F.col("a") == F.col("doc_id_a")).join(right, F.col("b") == F.col("doc_id_b"))
+    less, more = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    likely = (100 * less >= PERCENT * more) & (estimate(F.col("packed_a"), F.col("packed_b")) >= LEAST_ESTIMATE)
+    full = rated.where(likely).select("a", "b")
+    full = full.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("shingles_b")), "b")
+    full = full.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("shingles_a")), "a")
+    return full.mapInArrow(_confirmed, "a long, b long").distinct()
+
+
+def _within_small(rows: DataFrame) -> DataFrame:
+    """Pairs of different components in buckets of at most SMALL members; the least member, the
+    hub, has been compared already."""
+    own = rows.where(F.col("n") <= SMALL).where("doc_id <> hub").select("key", "doc_id", "label")
+    left, right = (own.select("key", *[F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "label")]) for k in "ab")
+    pairs = left.join(right, "key").where("doc_id_a < doc_id_b AND label_a <> label_b")
+    return pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+
+
+def _within_large(rows: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links that join components in larger buckets. Blocks meet in pairs, and each with itself."""
+    rows = rows.where(F.col("n") > SMALL)
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("own", own).withColumn("other", other)
@@ -192,14 +209,26 @@ def _within_buckets(buckets: DataFrame, sets: DataFrame, signed: DataFrame, labe
         "second": F.greatest("own", "other"),
         "side": F.when(F.col("own") <= F.col("other"), 1).otherwise(2),
     })
-    details = signed.select("doc_id", "n_shingles", "bands", "packed").dropDuplicates(["doc_id", "n_shingles"])
-    rows = rows.join(details, "doc_id").join(sets, "doc_id")
+    rows = rows.drop("n_shingles").join(signed.select("doc_id", "n_shingles", "bands", "packed"), "doc_id")
+    rows = rows.join(sets, "doc_id")
     columns = ["doc_id", "label", "band", "side", "n_shingles", "bands", "packed", "shingles"]
     return rows.groupBy("key", "first", "second").applyInPandas(
         lambda group: _links_in_block(group[columns]), "a long, b long"
     )
 
 
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold more than one component: with label, members and blocks."""
+    labelled = buckets.join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left")
+    labelled = labelled.withColumn("label", F.coalesce("label", "doc_id"))
+    mixed = labelled.groupBy("key").agg(
+        F.min("label").alias("least"), F.max("label").alias("most"),
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"),
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_MEMBERS, F.col("size") / BLOCK_SHINGLES)).cast("int")
+    return labelled.join(mixed.where("least <> most").select("key", "n", blocks.alias("blocks")), "key")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of `docs` (doc_id, text).
 
@@ -215,7 +244,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     equal = written(joined.select(F.col("doc_id").alias("b"), F.col("node").alias("a")).where("a <> b").distinct())
     first = linkable.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     first = written(first.dropDuplicates(["doc_id", *same]))
-    exploded = first.select("doc_id", F.posexplode("bands").alias("band", "key"))
+    exploded = first.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "key"))
     hubs = exploded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
     hubs = hubs.where("hub <> last").drop("last")
     buckets = written(exploded.join(hubs, "key"))
@@ -223,21 +252,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
     sets = written(id_and_bytes(texts).mapInArrow(_sets, "doc_id long, shingles binary").distinct())
 
-    pairs = buckets.where("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     light = first.select("doc_id", "n_shingles", "packed")
-    left, right = (light.select(*[F.col(c).alias(f"{c}_{k}") for c in light.columns]) for k in "ab")
-    rated = pairs.join(left, F.col("a") == F.col("doc_id_a")).join(right, F.col("b") == F.col("doc_id_b"))
-    less, more = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    likely = (100 * less >= PERCENT * more) & (estimate(F.col("packed_a"), F.col("packed_b")) >= LEAST_ESTIMATE)
-    likely_pairs = rated.where(likely).select("a", "b")
-    full = likely_pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("shingles_b")), "b")
-    full = full.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("shingles_a")), "a")
-    stars = written(full.mapInArrow(_confirmed, "a long, b long").distinct())
-
-    labels = components(stars)
-    more_links = written(_within_buckets(buckets.select("key", "band", "doc_id"), sets, first, labels))
+    pairs = buckets.where("hub <> doc_id").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = written(_confirm(pairs, light, sets))
+    mixed = written(_mixed(buckets, components(stars)))
+    small = _confirm(_within_small(mixed), light, sets)
+    more_links = written(small.unionByName(_within_large(mixed, first, sets)))
     links = stars.unionByName(more_links).unionByName(equal.select("a", "b"))
     labels = components(links).select(F.col("node").alias("doc_id"), F.col("label").alias("component_id"))
     result = signed.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
     result = result.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` but those of near-duplicates of a document with a smaller doc_id."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
