@@ -122,11 +122,11 @@ class ExactDuplicates:
 
         Rows that have no copy are not moved; of the others only those that stay are.
         """
-        columns = docs.columns
-        rows = with_maybe(docs.withColumn("digest", digest(F.col("text"))), self.field, self.blocks)
+        whole = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.struct("*").alias("row"))
+        rows = with_maybe(whole, self.field, self.blocks)
         narrow = with_maybe(self.digests, self.field, self.blocks).where("maybe")
         stays = self.groups(narrow).select("digest", F.col("keep_id").alias("doc_id"))
         maybe = rows.where("maybe")
         same = maybe["digest"].eqNullSafe(stays["digest"]) & maybe["doc_id"].eqNullSafe(stays["doc_id"])
         copies = maybe.join(stays, same, "left_semi").dropDuplicates(["doc_id", "digest"])
-        return rows.where(~F.col("maybe")).select(columns).unionByName(copies.select(columns))
+        return rows.where(~F.col("maybe")).select("row.*").unionByName(copies.select("row.*"))

@@ -182,24 +182,23 @@ def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _rewritten(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = [n for n in batch.schema.names if n != "values"]
+        *columns, values = batch.columns
         place = batch.schema.get_field_index("text")
-        texts = []
-        for cut in _removed([batch.set_column(place, "text", _as_bytes(batch.column(place)))], window, False):
-            gone, kept = cut.column("n_removed").to_pylist(), cut.column("kept").to_pylist()
-            texts += [k.decode() if g else None for g, k in zip(gone, kept)]
-        texts = pa.array(texts, pa.string())
-        same = batch.column(place).cast(pa.string())
-        out = batch.set_column(place, "text", pc.coalesce(texts, same))
-        yield out.select(names)
-
-
-def _as_bytes(texts: pa.Array) -> pa.Array:
-    return pc.fill_null(texts.cast(pa.string()), "").cast(pa.binary())
+        same = columns[place].cast(pa.string())
+        texts = pc.fill_null(same, "").cast(pa.binary())
+        narrow = pa.RecordBatch.from_arrays([texts, texts, values], ["doc_id", "text", "values"])
+        new = []
+        for cut in _removed([narrow], window, False):
+            pairs = zip(cut.column("n_removed").to_pylist(), cut.column("kept").to_pylist())
+            new += [kept.decode() if gone else None for gone, kept in pairs]
+        columns[place] = pc.coalesce(pa.array(new, pa.string()), same)
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
 
 def rewrite(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs` with repeats cut out of `text`; everything else stays, white space too."""
-    found = repeated_windows(docs, window).groupBy("doc_id").agg(F.collect_set("value").alias("values"))
-    joined = docs.join(found, "doc_id", "left").select(*docs.columns, "values")
-    return joined.mapInArrow(partial(_rewritten, window=window), docs.schema)
+    found = repeated_windows(docs, window).groupBy(F.col("doc_id").alias("repeated_in"))
+    found = found.agg(F.collect_set("value").alias("repeated_values"))
+    rows = docs.alias("docs").join(found.alias("found"), F.col("docs.doc_id") == F.col("found.repeated_in"), "left")
+    rows = rows.select("docs.*", F.col("found.repeated_values"))
+    return rows.mapInArrow(partial(_rewritten, window=window), docs.schema)
