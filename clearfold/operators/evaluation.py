@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearfold.operators.retrieval import answer
+from clearfold.schema import EVALUATION_COLUMNS
 
 BEFORE, AFTER = "before", "after"
 
@@ -50,8 +51,4 @@ def before_after(stores: DataFrame, questions: DataFrame, run_id: str) -> DataFr
         of(AFTER, "cited_version").alias("after_version"),
         of(AFTER, "cited_date").alias("after_effective_date"),
         of(AFTER, "correct").alias("after_correct"),
-    ).select(
-        "run_id", "question_id", "question",
-        "before_answer", "before_doc", "before_correct",
-        "after_answer", "after_doc", "after_version", "after_effective_date", "after_correct",
-    )
+    ).select(EVALUATION_COLUMNS)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clearfold.operators.expectations import halt_reasons
+
 
 def _section(rows: DataFrame, run_id: str, section: str, item: Column, **columns: Column) -> DataFrame:
     return rows.select(
@@ -54,6 +56,22 @@ def evaluation_section(evaluation: DataFrame, run_id: str) -> DataFrame:
     return _section(evaluation, run_id, "evaluation", item, status=status, value=right, detail=detail)
 
 
+def run_section(results: DataFrame, edges: DataFrame, run_id: str) -> DataFrame:
+    """Whether the run may publish and, if not, why; and how many records are in the store.
+
+    `results` are the suite's, `edges` the lineage, whose last one ends in the store.
+    """
+    halted = halt_reasons(results)
+    status = F.when(F.col("halt_reason").isNull(), "PUBLISHED").otherwise("HALTED")
+    of_run = _section(
+        halted, run_id, "run", F.lit("run_status"), status=status, detail=F.coalesce("halt_reason", F.lit(""))
+    )
+    stored = edges.where(F.col("to_node") == "vector_store")
+    return of_run.unionByName(
+        _section(stored, run_id, "run", F.lit("embedded_records"), value=F.col("n_rows"))
+    )
+
+
 def quality_report(
     run_id: str,
     funnel: DataFrame,
@@ -63,6 +81,7 @@ def quality_report(
     evaluation: DataFrame | None = None,
 ) -> DataFrame:
     sections = [
+        run_section(suite, edges, run_id),
         funnel_section(funnel, run_id),
         suite_section(suite, run_id),
         checks_section(checks, run_id),

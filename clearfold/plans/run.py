@@ -1,6 +1,6 @@
 """One publishing run: ingest, clean, monitor, validate, embed, publish.
 
-Stages meet in written tables, which survive lost executors and are read back with only the
+Stages meet in written tables of the attempt, which survive lost executors and are read back with only the
 columns the next stage needs. The texts are shuffled once, to join the cleaned ones with their
 verdicts; verdicts, quarantine, checks and gate all work on narrow rows.
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from clearfold.operators import cleaning, evaluation, expectations, monitors, retrieval
 from clearfold.plans import report
-from clearfold.schema import ORDER_COLUMN
+from clearfold.schema import EVALUATION_COLUMNS, ORDER_COLUMN
 from clearfold.settings import SOURCES, Thresholds, parse_now, run_id_of
 from clearfold.sources import canonical, readers, tables
 
@@ -27,6 +27,7 @@ from clearfold.sources import canonical, readers, tables
 @dataclass(frozen=True)
 class RunResult:
     run_id: str
+    attempt: str
     status: str
     halt_reason: str | None
     funnel: dict[str, int]
@@ -59,10 +60,10 @@ def run(
     `questions`: question_id, question, expect_keywords, stale_marker. `slas`: source_type,
     sla_hours, where sources differ. `warn_low_ocr` adds the check of kept but doubtful scans.
     """
-    run_id = run_id_of(now)
+    run_id, attempt = run_id_of(now), tables.new_attempt()
 
     def keep(rows: DataFrame, table: str) -> DataFrame:
-        return tables.write(rows, root, table, run_id).drop("run_id")
+        return tables.write(rows, root, table, run_id, attempt).drop("run_id")
 
     raw = keep(canonical.union_sources(by_source), "raw")
     counts = keep(canonical.source_counts(raw), "source_counts")
@@ -94,13 +95,15 @@ def run(
     suite = keep(suite if halted else results.withColumn("detail", F.lit("")), "suite")
 
     if halted is None:
-        store = keep(retrieval.build_store(cleaning.knowledge_rows(cleaned)), "store")
+        store = keep(retrieval.build_store(cleaning.of_knowledge_source(cleaned)), "store")
         embedded = store.count()
         keep(counts, "baseline")
         if questions is not None:
             before = retrieval.build_store(cleaning.knowledge_rows(raw))
             both = evaluation.both_stores(before, store)
             judged = keep(evaluation.before_after(both, questions, run_id), "evaluation")
+            with_run = judged.withColumn("run_id", F.lit(run_id)).select(EVALUATION_COLUMNS)
+            tables.export_csv(with_run, tables.partition_path(root, "evaluation_csv", run_id, attempt))
 
     totals = funnel.first().asDict()
     edges = monitors.lineage(
@@ -110,9 +113,9 @@ def run(
     keep(report.quality_report(run_id, funnel, suite, checks, edges, judged), "quality_report")
 
     status = tables.HALTED if halted else tables.PUBLISHED
-    tables.append_log(spark, root, run_id, status)
+    tables.append_log(spark, root, run_id, attempt, status)
     worst = monitors.worst_status(checks).first()["worst"]
-    return RunResult(run_id, status, halted, totals, embedded, worst, collected)
+    return RunResult(run_id, attempt, status, halted, totals, embedded, worst, collected)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -122,6 +125,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--issue-lines", action="store_true", help="issues are JSON lines, not arrays")
     p.add_argument("--questions", help="JSON lines: question_id, question, expect_keywords, stale_marker")
     p.add_argument("--root", required=True, help="folder of the run's tables")
+    p.add_argument("--loaded", nargs="*", default=[], metavar="SOURCE=TIME", help="when sources were loaded, ISO 8601")
+    p.add_argument("--sla", nargs="*", default=[], metavar="SOURCE=HOURS", help="freshness SLAs that differ")
     p.add_argument("--now", help="the run's clock, ISO 8601")
     args = p.parse_args(argv)
 
@@ -136,7 +141,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.questions:
         schema = "question_id string, question string, expect_keywords array<string>, stale_marker string"
         asked = spark.read.schema(schema).json(args.questions)
-    result = run(spark, by_source, args.root, parse_now(args.now), questions=asked)
+    now = parse_now(args.now)
+    loaded = {s: now for s in SOURCES} | {s: parse_now(t) for s, t in (x.split("=", 1) for x in args.loaded)}
+    slas = [(s, float(h)) for s, h in (x.split("=", 1) for x in args.sla)]
+    slas = spark.createDataFrame(slas, "source_type string, sla_hours double") if slas else None
+    result = run(spark, by_source, args.root, now, loaded, asked, slas=slas)
     print(f"run_id={result.run_id} status={result.status} monitor worst={result.worst}")
     for name, n in result.funnel.items():
         print(f"{name}={n}")

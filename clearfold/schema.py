@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the contract and of the tables a run writes.
 CANONICAL_COLUMNS = [
     "doc_id",
     "source_type",
@@ -38,10 +39,18 @@ QUARANTINE_COLUMNS = [
     "content",
 ]
 
+EVALUATION_COLUMNS = [
+    "run_id", "question_id", "question", "before_answer", "before_doc", "before_correct",
+    "after_answer", "after_doc", "after_version", "after_effective_date", "after_correct",
+]
+
 CHECKS = "pillar string, name string, status string, value double, detail string"
 SUITE = (
     "ordinal int, name string, column string, success boolean, unexpected bigint, detail string"
 )
 BASELINE = "source_type string, n_rows bigint"
-RUN_LOG = "seq bigint, run_id string, status string, last_success_run string"
+RUN_LOG = (
+    "seq bigint, run_id string, attempt string, status string, "
+    "last_success_run string, last_success_attempt string"
+)
 SOURCE_STATS = "source_type string, n_rows bigint, loaded_at timestamp"

@@ -1,7 +1,8 @@
-"""Tables a run writes, all Parquet, one directory per table and run.
+"""Tables a run writes, all Parquet, one directory per table, run and attempt.
 
-A run replaces its own directory and touches no other, so repeating it changes nothing. What
-readers see is decided by the run log alone: a run is published by the one row appended last.
+Every attempt at a run writes directories of its own and touches no other. What readers see is
+decided by the run log alone: an attempt is published by the one row appended last, so neither a
+repeated run that halts nor one that is still writing changes anything they see.
 """
 
 from __future__ import annotations
@@ -15,59 +16,63 @@ from pyspark.sql import functions as F
 
 from clearfold.schema import BASELINE, RUN_LOG
 
-PUBLISHED, HALTED = "PUBLISHED", "HALTED"
+PUBLISHED, HALTED, ROLLED_BACK = "PUBLISHED", "HALTED", "ROLLED_BACK"
 
 
-def partition_path(root: str, table: str, run_id: str) -> str:
+def new_attempt() -> str:
+    return uuid.uuid4().hex
+
+
+def partition_path(root: str, table: str, run_id: str, attempt: str) -> str:
     """The colon of a run id is no path character; it is escaped as Spark escapes it."""
-    return f"{root}/{table}/run_id={run_id.replace(':', '%3A')}"
+    return f"{root}/{table}/run_id={run_id.replace(':', '%3A')}/attempt={attempt}"
 
 
-def write(rows: DataFrame, root: str, table: str, run_id: str) -> DataFrame:
-    """Replace a run's part of a table and return it as read back, cut off from its lineage."""
-    path = partition_path(root, table, run_id)
-    rows.drop("run_id").write.mode("overwrite").parquet(path)
-    return read(rows.sparkSession, root, table, run_id)
+def write(rows: DataFrame, root: str, table: str, run_id: str, attempt: str) -> DataFrame:
+    """Write an attempt's part of a table and return it as read back, cut off from its lineage."""
+    rows.drop("run_id").write.mode("overwrite").parquet(partition_path(root, table, run_id, attempt))
+    return read(rows.sparkSession, root, table, run_id, attempt)
 
 
-def read(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(partition_path(root, table, run_id)).withColumn("run_id", F.lit(run_id))
+def read(spark: SparkSession, root: str, table: str, run_id: str, attempt: str) -> DataFrame:
+    rows = spark.read.parquet(partition_path(root, table, run_id, attempt))
+    return rows.withColumn("run_id", F.lit(run_id))
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
     """CSV files with a header and doubled quotes, one per partition of `rows`."""
-    rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("overwrite").options(header=True, quote='"', escape='"', **spaces).csv(path)
 
 
-def shared_folder(spark: SparkSession) -> str | None:
+def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in spark.checkpoint.dir.
 
-    Where none is named, a temporary one in local mode, and none at all on a cluster, whose
-    machines could not all see it.
+    Where none is named, local mode gets a temporary one; on a cluster, whose machines could not
+    all see that, it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None and spark.sparkContext.master.startswith("local"):
+    if named is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         named = tempfile.mkdtemp(prefix="checkpoint-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
-def materialised(rows: DataFrame) -> DataFrame:
-    """Rows that several parts of a plan read, written once to the shared folder if there is one.
+def materialised(rows: DataFrame, folder: str | None = None) -> DataFrame:
+    """Rows that several parts of a plan read, written once to a folder that all machines share.
 
     Unlike a checkpointed DataFrame the table is columnar: each reader gets only its columns.
     """
     spark = rows.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return rows
-    path = f"{folder}/{uuid.uuid4()}"
+    path = f"{folder or shared_folder(spark)}/{uuid.uuid4()}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
 def run_log(spark: SparkSession, root: str) -> DataFrame:
-    """(seq, run_id, status, last_success_run); empty before the first run."""
+    """(seq, run_id, attempt, status, last_success_run, last_success_attempt); empty at first."""
     try:
         return spark.read.schema(RUN_LOG).parquet(f"{root}/run_log")
     except AnalysisException as e:
@@ -81,42 +86,57 @@ def state(spark: SparkSession, root: str) -> Row | None:
     return run_log(spark, root).orderBy(F.desc("seq")).first()
 
 
-def last_success(spark: SparkSession, root: str) -> str | None:
+def last_success(spark: SparkSession, root: str) -> tuple[str, str] | None:
+    """Run and attempt that readers see."""
     latest = state(spark, root)
-    return latest["last_success_run"] if latest else None
+    if latest is None or latest["last_success_run"] is None:
+        return None
+    return latest["last_success_run"], latest["last_success_attempt"]
 
 
-def append_log(spark: SparkSession, root: str, run_id: str, status: str) -> None:
-    """A halted run carries the last successful one forward."""
+def _append(spark: SparkSession, root: str, run: tuple[str, str], status: str, seen: tuple[str, str] | None) -> None:
     latest = state(spark, root)
     seq = latest["seq"] + 1 if latest else 0
-    success = run_id if status == PUBLISHED else (latest["last_success_run"] if latest else None)
-    row = spark.createDataFrame([(seq, run_id, status, success)], RUN_LOG)
+    row = spark.createDataFrame([(seq, *run, status, *(seen or (None, None)))], RUN_LOG)
     row.coalesce(1).write.mode("append").parquet(f"{root}/run_log")
 
 
+def append_log(spark: SparkSession, root: str, run_id: str, attempt: str, status: str) -> None:
+    """A halted run carries the last successful one forward."""
+    run = (run_id, attempt)
+    _append(spark, root, run, status, run if status == PUBLISHED else last_success(spark, root))
+
+
 def load_baseline(spark: SparkSession, root: str) -> DataFrame:
     """Source counts of the last published run; empty before there is one."""
-    run_id = last_success(spark, root)
-    if run_id is None:
+    counts = read_published(spark, root, "baseline")
+    if counts is None:
         return spark.createDataFrame([], BASELINE)
-    return read(spark, root, "baseline", run_id).select("source_type", "n_rows")
+    return counts.select("source_type", "n_rows")
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """A table as of the last published run."""
-    run_id = last_success(spark, root)
-    return None if run_id is None else read(spark, root, table, run_id)
+    published = last_success(spark, root)
+    return None if published is None else read(spark, root, table, *published)
 
 
 def roll_back(spark: SparkSession, root: str) -> str:
-    """Publish the successful run before the current one again; nothing is rewritten."""
+    """Publish again what was published before the current run first was; nothing is rewritten.
+
+    What has been rolled back before is not returned to, so that repeated calls go back step by
+    step.
+    """
+    log = run_log(spark, root)
     current = last_success(spark, root)
-    published = run_log(spark, root).where(
-        (F.col("status") == PUBLISHED) & (F.col("run_id") != F.lit(current))
-    )
-    previous = published.orderBy(F.desc("seq")).first()
-    if previous is None:
-        raise ValueError("no earlier published run to roll back to")
-    append_log(spark, root, previous["run_id"], PUBLISHED)
-    return previous["run_id"]
+    if current is not None:
+        first = log.where((F.col("status") == PUBLISHED) & (F.col("run_id") == current[0]))
+        first_seq = first.agg(F.min("seq")).first()[0]
+        left = log.where(F.col("status") == ROLLED_BACK).groupBy("run_id").agg(F.max("seq").alias("left_at"))
+        earlier = log.where((F.col("status") == PUBLISHED) & (F.col("seq") < F.lit(first_seq)))
+        standing = earlier.join(left, "run_id", "left").where("left_at IS NULL OR left_at < seq")
+        previous = standing.orderBy(F.desc("seq")).first()
+        if previous is not None:
+            _append(spark, root, current, ROLLED_BACK, (previous["run_id"], previous["attempt"]))
+            return previous["run_id"]
+    raise ValueError("no earlier published run to roll back to")

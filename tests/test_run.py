@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 
 import pytest
@@ -64,7 +65,7 @@ def test_funnel_of_a_published_run(published):
 
 def test_tables_of_a_published_run(spark, published, root):
     def table(name):
-        return tables.read(spark, str(root), name, RUN)
+        return tables.read(spark, str(root), name, RUN, published.attempt)
 
     cleaned = table("cleaned")
     assert cleaned.count() == 29 and not [c for c in cleaned.columns if c.startswith("_")]
@@ -92,7 +93,7 @@ def test_tables_of_a_published_run(spark, published, root):
 
 
 def test_cleaning_corrects_an_answer(spark, published, root):
-    rows = {r.question_id: r for r in tables.read(spark, str(root), "evaluation", RUN).collect()}
+    rows = {r.question_id: r for r in tables.read(spark, str(root), "evaluation", RUN, published.attempt).collect()}
     assert [(rows[q].before_correct, rows[q].after_correct) for q in ("q1", "q2", "q3")] == [
         (False, True),
         (True, True),
@@ -106,15 +107,15 @@ def test_repeating_a_run_changes_nothing(spark, good, root, published):
     names = ["raw", "cleaned", "quarantine", "store", "baseline", "checks", "quality_report", "evaluation"]
 
     def contents():
-        return {n: sorted(map(str, tables.read(spark, str(root), n, RUN).collect())) for n in names}
+        return {n: sorted(map(str, tables.read_published(spark, str(root), n).collect())) for n in names}
 
     before = contents()
-    start(spark, good, root)
+    assert start(spark, good, root).attempt != published.attempt
     after = contents()
     # the first run had no baseline to compare volumes with
     for n in ("checks", "quality_report"):
         before[n] = [r.replace("no baseline yet", "") for r in before[n]]
-        after[n] = [r.replace("baseline=18", "").replace("baseline=6", "").replace("baseline=11", "") for r in after[n]]
+        after[n] = [re.sub(r"baseline=\d+ change=0.0%", "", r) for r in after[n]]
     assert before == after
 
 
@@ -127,19 +128,36 @@ def test_halted_run_publishes_nothing(spark, faulty, root, published):
     assert halted.worst == "PAGE"
     assert (halted.funnel["raw"], halted.funnel["cleaned"]) == (32, 27)
     assert [halted.funnel[c] for c in ("flagged_missing_date", "flagged_low_ocr", "invalid_date")] == [1, 1, 1]
-    checks = {c["name"]: c for c in tables.read(spark, str(root), "checks", halted.run_id).collect()}
+    checks = {c["name"]: c for c in tables.read(spark, str(root), "checks", halted.run_id, halted.attempt).collect()}
     assert (checks["freshness[postgres]"]["status"], checks["freshness[postgres]"]["value"]) == ("PAGE", 17.0)
     volume = checks["volume[postgres]"]
-    assert (volume["status"], volume["value"], volume["detail"]) == ("WARN", 13, "baseline=18")
-    suite = {r["name"]: r for r in tables.read(spark, str(root), "suite", halted.run_id).collect()}
+    assert (volume["status"], volume["value"], volume["detail"]) == ("WARN", 13, "baseline=18 change=-27.8%")
+    suite = {r["name"]: r for r in tables.read(spark, str(root), "suite", halted.run_id, halted.attempt).collect()}
     assert suite["valid_date"]["detail"] == "e.g. 2026-13-45" and suite["match_regex"]["success"]
-    assert tables.read(spark, str(root), "quality_report", halted.run_id).count() > 0
+    assert tables.read(spark, str(root), "quality_report", halted.run_id, halted.attempt).count() > 0
     for name in ("store", "baseline", "evaluation"):
         with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-            tables.read(spark, str(root), name, halted.run_id)
+            tables.read(spark, str(root), name, halted.run_id, halted.attempt)
     state = tables.state(spark, str(root))
     assert (state["run_id"], state["status"], state["last_success_run"]) == (halted.run_id, "HALTED", RUN)
     assert tables.read_published(spark, str(root), "store").count() == 7
+    report = tables.read(spark, str(root), "quality_report", halted.run_id, halted.attempt)
+    of_run = {r["item"]: r for r in report.where("section = 'run'").collect()}
+    assert (of_run["run_status"].status, of_run["run_status"].detail) == ("HALTED", halted.halt_reason)
+    assert of_run["embedded_records"].value == 0
+
+
+def test_a_halted_repetition_changes_nothing_that_readers_see(spark, good, faulty, tmp_path):
+    first = start(spark, good, tmp_path)
+    names = ["raw", "cleaned", "quarantine", "store", "baseline", "quality_report"]
+
+    def seen():
+        return {n: sorted(map(str, tables.read_published(spark, str(tmp_path), n).collect())) for n in names}
+
+    before = seen()
+    again = start(spark, faulty, tmp_path)
+    assert (again.run_id, again.status) == (first.run_id, "HALTED")
+    assert seen() == before
 
 
 def test_run_without_any_record(spark, tmp_path):
@@ -151,7 +169,7 @@ def test_run_without_any_record(spark, tmp_path):
     result = plan.run(spark, by_source, str(tmp_path / "root"), NOW)
     assert (result.status, result.worst, result.embedded) == ("PUBLISHED", "WARN", 0)
     assert set(result.funnel.values()) == {0}
-    assert tables.read(spark, str(tmp_path / "root"), "quarantine", RUN).count() == 0
+    assert tables.read(spark, str(tmp_path / "root"), "quarantine", RUN, result.attempt).count() == 0
 
 
 def test_slas_and_low_ocr_are_optional_checks(spark, good, tmp_path):
@@ -159,7 +177,7 @@ def test_slas_and_low_ocr_are_optional_checks(spark, good, tmp_path):
     slas = spark.createDataFrame([("file", 1.0)], "source_type string, sla_hours double")
     loaded_at = {"file": NOW - timedelta(hours=1)}
     plan.run(spark, by_source, str(tmp_path), NOW, loaded_at, slas=slas, warn_low_ocr=True)
-    checks = {c["name"]: c["status"] for c in tables.read(spark, str(tmp_path), "checks", RUN).collect()}
+    checks = {c["name"]: c["status"] for c in tables.read_published(spark, str(tmp_path), "checks").collect()}
     assert checks["freshness[file]"] == "PAGE" and checks["low_ocr"] == "PASS"
 
 
@@ -167,13 +185,25 @@ def test_roll_back(spark, good, tmp_path):
     root = str(tmp_path)
     with pytest.raises(ValueError):
         tables.roll_back(spark, root)
-    for day in (0, 1):
-        tables.append_log(spark, root, f"r{day}", tables.PUBLISHED)
-        tables.write(spark.createDataFrame([(day,)], "n int"), root, "store", f"r{day}")
-    tables.append_log(spark, root, "r2", tables.HALTED)
-    assert tables.read_published(spark, root, "store").first()["n"] == 1
-    assert tables.roll_back(spark, root) == "r0"
-    assert tables.read_published(spark, root, "store").first()["n"] == 0
+
+    def publish(run, attempt, n):
+        tables.write(spark.createDataFrame([(n,)], "n int"), root, "store", run, attempt)
+        tables.append_log(spark, root, run, attempt, tables.PUBLISHED)
+
+    def seen():
+        return tables.read_published(spark, root, "store").first()["n"]
+
+    for n, run in enumerate("ABC"):
+        publish(run, f"{run}1", n)
+    publish("C", "C2", 3)
+    tables.append_log(spark, root, "D", "D1", tables.HALTED)
+    assert seen() == 3
+    assert (tables.roll_back(spark, root), seen()) == ("B", 1)
+    assert (tables.roll_back(spark, root), seen()) == ("A", 0)
+    with pytest.raises(ValueError):
+        tables.roll_back(spark, root)
+    publish("E", "E1", 5)
+    assert (seen(), tables.roll_back(spark, root), seen()) == (5, "A", 0)
 
 
 def test_first_run_has_no_baseline_and_no_state(spark, tmp_path):
@@ -183,7 +213,7 @@ def test_first_run_has_no_baseline_and_no_state(spark, tmp_path):
 
 
 def test_csv_export(spark, tmp_path, published, root):
-    rows = tables.read(spark, str(root), "evaluation", RUN)
+    rows = tables.read(spark, str(root), "evaluation", RUN, published.attempt)
     tables.export_csv(rows.coalesce(1), f"{tmp_path}/csv")
     back = spark.read.options(header=True, escape='"').csv(f"{tmp_path}/csv")
     assert back.columns == rows.columns and back.count() == 3
