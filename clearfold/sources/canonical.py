@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -27,13 +27,14 @@ def canonicalise(rows: DataFrame, mapping: Mapping[str, str | Column]) -> DataFr
 
     `mapping` names, per canonical column, a source column or gives an expression; a source
     column that does not exist is an error. Text that is no number for ocr_confidence is too.
+    A missing key is the empty key, as a record without one still has its text.
     The input position (ingest_seq) is kept when the source already has one.
     """
     value = {c: _of(mapping[c]) for c in CANONICAL_COLUMNS}
     ocr = F.nullif(value["ocr_confidence"].cast("string"), F.lit("")).cast("double")
     coerced = {
         **value,
-        "doc_id": text.strip_blanks(value["doc_id"].cast("string")),
+        "doc_id": text.strip_blanks(text.text_or_empty(value["doc_id"].cast("string"))),
         "version": text.blank_to_null(value["version"].cast("string")),
         "ocr_confidence": F.coalesce(ocr, F.lit(1.0)),
         "content": text.text_or_empty(value["content"]),
@@ -53,10 +54,16 @@ def number(records: DataFrame, rank: int, position: Column | None = None) -> Dat
     return records.select(seq, *CANONICAL_COLUMNS)
 
 
-def union_sources(by_source: Mapping[str, DataFrame]) -> DataFrame:
-    """All sources in the contract's order; each is numbered unless it already is."""
+def union_sources(by_source: Mapping[str, DataFrame], names: Sequence[str] = SOURCES) -> DataFrame:
+    """All sources in the order of `names`; each is numbered unless it already is.
+
+    A source that `names` does not declare is an error, so that none is lost.
+    """
+    unknown = sorted(set(by_source) - set(names))
+    if unknown:
+        raise ValueError(f"undeclared sources: {', '.join(unknown)}")
     ranked = []
-    for rank, name in enumerate(SOURCES):
+    for rank, name in enumerate(names):
         if name in by_source:
             records = by_source[name]
             ranked.append(records if ORDER_COLUMN in records.columns else number(records, rank))
@@ -68,10 +75,10 @@ def declared_sources(spark: SparkSession, names=SOURCES) -> DataFrame:
 
 
 def source_counts(records: DataFrame, names=SOURCES) -> DataFrame:
-    """Records per declared source; a source that delivered nothing counts 0."""
+    """Records per source; a declared one that delivered nothing counts 0, an undeclared one counts."""
     counted = records.groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
     declared = declared_sources(records.sparkSession, names)
-    return declared.join(counted, "source_type", "left").select(
+    return declared.join(counted, "source_type", "full").select(
         "source_type", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_rows")
     )
 

@@ -7,12 +7,14 @@ lines, or any table (through `canonicalise`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clearfold.sources.canonical import canonicalise
+from clearfold.schema import ORDER_COLUMN
+from clearfold.settings import SOURCES
+from clearfold.sources.canonical import SOURCE_STRIDE, canonicalise
 
-ISSUE_FIELDS = ["key", "summary", "updated", "priority", "status", "description"]
+# Column names of the source files.
 ISSUE_KEYS_READ = ["key", "summary", "updated", "description"]
 
 
@@ -20,10 +22,35 @@ def _no_text():
     return F.lit(None).cast("string")
 
 
-def _csv(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
-    """All columns as text, named by the header; quotes are doubled inside quoted cells."""
+def positioned(rows: DataFrame, source: str, within: Column | None = None) -> DataFrame:
+    """Rows of a scan with their input position: files by path, splits by place, then row order.
+
+    `within` is a row's place in its file where a row is a file. The ranks of the splits are taken
+    from a pass that reads no column.
+    """
+    within = F.monotonically_increasing_id() if within is None else within
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        within.alias("_at"),
+    )
+    splits = placed.groupBy("_file", "_split").agg(F.min("_at").alias("_first"))
+    in_order = Window.orderBy("_file", "_split")
+    ranked = splits.withColumn("_rank", F.row_number().over(in_order) - 1)
+    position = F.col("_rank").cast("bigint") * F.lit(1 << 33) + F.col("_at") - F.col("_first")
+    joined = placed.join(ranked, ["_file", "_split"])
+    seq = F.lit(SOURCES.index(source) * SOURCE_STRIDE) + position
+    return joined.withColumn(ORDER_COLUMN, seq).select(ORDER_COLUMN, *rows.columns)
+
+
+def _csv(spark: SparkSession, path: str | list[str], multi_line: bool, source: str) -> DataFrame:
+    """All columns as text, named by the header; quotes are doubled inside quoted cells.
+
+    A file whose header differs from the others' is an error, not read by place.
+    """
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "encoding": "UTF-8"}
-    return spark.read.options(**options).csv(path)
+    return positioned(spark.read.options(**options, enforceSchema=False).csv(path), source)
 
 
 def read_tickets(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -37,37 +64,37 @@ def read_tickets(spark: SparkSession, path: str | list[str], multi_line: bool =
         "ocr_confidence": F.lit(1.0),
         "content": "body",
     }
-    return canonicalise(_csv(spark, path, multi_line), mapping)
+    return canonicalise(_csv(spark, path, multi_line, "postgres"), mapping)
 
 
 def read_documents(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     same = ["doc_id", "source_uri", "title", "effective_date", "version", "ocr_confidence", "content"]
     mapping = {c: c for c in same} | {"source_type": F.lit("file")}
-    return canonicalise(_csv(spark, path, multi_line), mapping)
+    return canonicalise(_csv(spark, path, multi_line, "file"), mapping)
 
 
 def read_issues(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
     """Issues from files holding one JSON array each or, with `lines`, one object per line.
 
-    A key no array element has, or that a line lacks, is an error rather than a null.
+    A key that an object lacks, and a file that is no JSON array, are errors rather than nulls.
     """
-    schema = ", ".join(f"{f} string" for f in ISSUE_FIELDS)
     if lines:
-        text = spark.read.text(path)
-        wanted = F.array(*(F.lit(k) for k in ISSUE_KEYS_READ))
-        present = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
-        missing = F.array_except(wanted, present)
-        checked = F.when(F.size(missing) == 0, F.col("value")).otherwise(
-            F.raise_error(F.concat(F.lit("issue lacks "), F.array_join(missing, ", ")))
-        )
-        issues = text.select(F.from_json(checked, schema).alias("i")).select("i.*")
+        texts = positioned(spark.read.text(path), "jira")
+        found = texts.select(ORDER_COLUMN, F.from_json("value", "map<string,string>").alias("issue"))
     else:
-        arrays = spark.read.option("multiLine", True)
-        found = arrays.option("primitivesAsString", True).json(path).columns
-        lacking = [k for k in ISSUE_KEYS_READ if k not in found]
-        if lacking:
-            raise KeyError(f"issues lack {', '.join(lacking)}")
-        issues = arrays.schema(schema).json(path)
+        files = positioned(spark.read.text(path, wholetext=True), "jira", F.lit(0).cast("bigint"))
+        parsed = F.from_json("value", "array<map<string,string>>")
+        readable = F.coalesce(parsed, F.raise_error(F.lit("not a JSON array of issues")).cast("array<map<string,string>>"))
+        found = files.select(ORDER_COLUMN, F.posexplode(readable).alias("place", "issue"))
+        found = found.select((F.col(ORDER_COLUMN) + F.col("place")).alias(ORDER_COLUMN), "issue")
+    wanted = F.array(*(F.lit(k) for k in ISSUE_KEYS_READ))
+    present = F.coalesce(F.map_keys("issue"), F.array().cast("array<string>"))
+    missing = F.array_except(wanted, present)
+    failed = F.raise_error(F.concat(F.lit("issue lacks "), F.array_join(missing, ", ")))
+    checked = F.when(F.size(missing) == 0, F.col("issue")).otherwise(failed.cast("map<string,string>"))
+    issues = found.withColumn("issue", checked).select(
+        ORDER_COLUMN, *(F.element_at("issue", k).alias(k) for k in ISSUE_KEYS_READ)
+    )
     mapping = {
         "doc_id": "key",
         "source_type": F.lit("jira"),

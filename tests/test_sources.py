@@ -1,8 +1,11 @@
+import json
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from clearfold.sources import canonical, readers
+from clearfold.schema import CANONICAL_COLUMNS
+from clearfold.sources import canonical, readers, tables
 from tests.corpus import DOCUMENTS, ISSUES, TICKETS, write_sources
 
 
@@ -46,8 +49,11 @@ def test_missing_columns_and_bad_numbers_are_errors(spark, tmp_path):
     with pytest.raises(AnalysisException):
         readers.read_tickets(spark, f"{tmp_path}/t.csv")
     (tmp_path / "i.json").write_text('[{"key": "a", "summary": "s"}]')
-    with pytest.raises(KeyError):
-        readers.read_issues(spark, f"{tmp_path}/i.json")
+    with pytest.raises(Exception, match="issue lacks updated, description"):
+        readers.read_issues(spark, f"{tmp_path}/i.json").collect()
+    (tmp_path / "o.json").write_text('{"key": "a"}')
+    with pytest.raises(Exception, match="not a JSON array"):
+        readers.read_issues(spark, f"{tmp_path}/o.json").collect()
     (tmp_path / "i.jsonl").write_text('{"key": "a", "summary": "s", "updated": "u"}\n')
     with pytest.raises(Exception, match="issue lacks description"):
         readers.read_issues(spark, f"{tmp_path}/i.jsonl", lines=True).collect()
@@ -76,3 +82,58 @@ def test_sources_are_numbered_in_contract_order(spark, folder):
     only = canonical.union_sources({"jira": by_source["jira"]})
     counts = {r.source_type: r.n_rows for r in canonical.source_counts(only).collect()}
     assert counts == {"postgres": 0, "jira": 6, "file": 0}
+
+
+def test_one_element_without_a_key_is_an_error(spark, tmp_path):
+    whole = {"key": "a", "summary": "s", "updated": "u", "description": "d"}
+    (tmp_path / "i.json").write_text(json.dumps([whole, {k: v for k, v in whole.items() if k != "updated"}]))
+    with pytest.raises(Exception, match="issue lacks updated"):
+        readers.read_issues(spark, f"{tmp_path}/i.json").collect()
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    head = "ticket_id,source_uri,subject,updated_at,priority,status,body"
+    (tmp_path / "a.csv").write_text(f"{head}\n1,u,s,2026-01-01,p,o,text\n")
+    (tmp_path / "b.csv").write_text("source_uri,ticket_id" + head[20:] + "\nu,2,s,2026-01-01,p,o,text\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_tickets(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"]).collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_input_order_is_file_order(spark, tmp_path, multi_line):
+    head = "ticket_id,source_uri,subject,updated_at,priority,status,body\n"
+    sizes = {"a_small": 2, "b_big": 3000, "c_middle": 40}
+    for name, n in sizes.items():
+        rows = (f"{name}{i:05d},u,s,2026-01-01,p,o,{'text ' * 20}" for i in range(n))
+        (tmp_path / f"{name}.csv").write_text(head + "\n".join(rows) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        found = readers.read_tickets(spark, str(tmp_path), multi_line).orderBy("ingest_seq").select("doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.doc_id for r in found] == [f"{name}{i:05d}" for name, n in sizes.items() for i in range(n)]
+
+
+def test_undeclared_sources_are_not_lost(spark):
+    records = spark.createDataFrame([(1, "d", "wiki")], "ingest_seq bigint, doc_id string, source_type string")
+    with pytest.raises(ValueError, match="wiki"):
+        canonical.union_sources({"wiki": records})
+    assert canonical.union_sources({"wiki": records}, ["wiki"]).count() == 1
+    counts = {r.source_type: r.n_rows for r in canonical.source_counts(records).collect()}
+    assert counts == {"postgres": 0, "jira": 0, "file": 0, "wiki": 1}
+
+
+def test_a_missing_key_is_the_empty_key(spark):
+    mapping = {c: F.lit(None).cast("string") for c in CANONICAL_COLUMNS} | {"content": F.lit("text")}
+    row = canonical.canonicalise(spark.range(1), mapping).first()
+    assert (row.doc_id, row.content, row.ocr_confidence) == ("", "text", 1.0)
+
+
+def test_intermediate_tables_need_a_shared_folder(spark):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_folder(Cluster())
