@@ -18,16 +18,12 @@ DATE_SHAPES = [
 TWO_DIGIT_PIVOT = 2069
 
 
-def try_date(c: Column, pattern: str) -> Column:
-    return F.try_to_date(c, pattern)
-
-
 def parse_date(raw: Column) -> Column:
     """DATE of a raw text in any accepted shape, null when none fits or the day does not exist."""
     text = strip_blanks(raw)
     branches = []
     for shape, pattern in DATE_SHAPES:
-        parsed = try_date(text, pattern)
+        parsed = F.try_to_date(text, pattern)
         if pattern.endswith("/yy"):
             parsed = F.when(F.year(parsed) >= TWO_DIGIT_PIVOT, F.add_months(parsed, -1200)).otherwise(
                 parsed
@@ -52,5 +48,5 @@ def normalised_date(raw: Column, parsed: Column) -> Column:
 def is_calendar_date(c: Column) -> Column:
     """True for a real day written year-month-day; never null."""
     return F.coalesce(
-        c.rlike(DATE_SHAPES[0][0]) & try_date(c, DATE_SHAPES[0][1]).isNotNull(), F.lit(False)
+        c.rlike(DATE_SHAPES[0][0]) & F.try_to_date(c, DATE_SHAPES[0][1]).isNotNull(), F.lit(False)
     )

@@ -77,7 +77,8 @@ def has_replacement_char(c: Column) -> Column:
 
 def content_hash(source_type: Column, doc_id: Column, content: Column) -> Column:
     """First 16 hex digits of sha256 over source_type|doc_id|content."""
-    payload = F.concat(source_type, F.lit("|"), doc_id, F.lit("|"), content)
+    parts = [text_or_empty(c) for c in (source_type, doc_id, content)]
+    payload = F.concat_ws("|", *parts)
     return F.substring(F.sha2(payload, 256), 1, 16)
 
 

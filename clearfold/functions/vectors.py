@@ -44,17 +44,6 @@ def norm(counts: Column) -> Column:
     return F.sqrt(squares.cast("double"))
 
 
-def dot(a_terms: Column, a_counts: Column, b_terms: Column, b_counts: Column) -> Column:
-    """Integer dot product; `a` should be the shorter vector."""
-
-    def product(term: Column, i: Column) -> Column:
-        at = F.array_position(b_terms, term) - 1
-        return F.get(a_counts, i) * F.coalesce(F.get(b_counts, at.cast("int")), F.lit(0))
-
-    products = F.transform(a_terms, product)
-    return F.aggregate(products, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
-
-
 def cosine(dot_product: Column, a_norm: Column, b_norm: Column) -> Column:
     """One fixed expression, so that equal vectors give equal scores; 0 for an empty vector."""
     scale = a_norm * b_norm

@@ -42,6 +42,7 @@ def stage(records: DataFrame) -> DataFrame:
     """
     composed = records.withColumns(
         {
+            "doc_id": text.text_or_empty(F.col("doc_id")),
             "title": text.collapse_blanks(text.nfc(text.text_or_empty(F.col("title")))),
             "_nfc": text.nfc(text.text_or_empty(F.col("content"))),
         }
@@ -68,7 +69,7 @@ def stage(records: DataFrame) -> DataFrame:
 def narrow(staged: DataFrame) -> DataFrame:
     """What routing, monitoring, gating and quarantine need of a staged record.
 
-    The preview is blank exactly when the content is: staged content has no leading blank.
+    The content itself is left behind: its length, whether it is blank and a preview remain.
     """
     return staged.select(
         ORDER_COLUMN,
@@ -78,20 +79,20 @@ def narrow(staged: DataFrame) -> DataFrame:
         *_FACTS,
         "content_hash",
         F.length("content").cast("bigint").alias("content_length"),
-        text.preview(F.col("content")).alias("content"),
+        (F.col("content") == "").alias("content_blank"),
+        text.preview(F.col("content")).alias("content_preview"),
     )
 
 
 def distinct_contents(rows: DataFrame) -> DataFrame:
     """The first record, by input order, of every (doc_id, source_type, content_hash).
 
-    Empty records are left out after grouping, by a value the filter cannot be pushed past:
-    pushed down to the scan it would normalise every text a second time.
+    Only the least position is aggregated, by hash; its record's facts are joined back on it.
     """
-    first = F.min(F.struct(ORDER_COLUMN, "content_length", *_FACTS)).alias("first")
-    firsts = rows.groupBy("doc_id", "source_type", "content_hash").agg(first)
-    filled = firsts.select("doc_id", "source_type", "content_hash", "first.*")
-    return filled.where(F.col("content_length") > 0)
+    first = F.min(ORDER_COLUMN).alias(ORDER_COLUMN)
+    firsts = rows.groupBy("doc_id", "source_type", "content_hash").agg(first).select(ORDER_COLUMN)
+    facts = rows.select(ORDER_COLUMN, "doc_id", "source_type", "content_hash", "content_length", *_FACTS)
+    return facts.join(firsts, ORDER_COLUMN).where(F.col("content_length") > 0)
 
 
 def _candidate() -> Column:
@@ -159,12 +160,12 @@ def decide(distinct: DataFrame, thresholds: Thresholds = Thresholds(), salts: in
 
 def route(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Attach each record's single outcome: empty, duplicate, or its verdict."""
-    empty = F.col("content_hash").isNull()
+    blank = F.col("content_length") == 0 if "content_length" in rows.columns else F.col("content") == ""
     judged = F.col("group_seq").isNotNull()
     return rows.join(verdicts, ORDER_COLUMN, "left").withColumns(
         {
             "action": F.when(judged, F.col("action")).otherwise(F.lit(REJECT)),
-            "reason": F.when(empty, F.lit(EMPTY))
+            "reason": F.when(blank, F.lit(EMPTY))
             .when(judged, F.col("reason"))
             .otherwise(F.lit(DUPLICATE)),
         }
@@ -192,11 +193,14 @@ def cleaned_rows(classified: DataFrame) -> DataFrame:
     return kept.select(F.col("group_seq").alias(ORDER_COLUMN), *CLEANED_COLUMNS)
 
 
-def cleaned_texts(records: DataFrame, routed: DataFrame) -> DataFrame:
+def cleaned_texts(records: DataFrame, routed: DataFrame, source: str | None = None) -> DataFrame:
     """Cleaned records in full, from raw records and already routed narrow rows.
 
-    Texts are normalised after the join, so only those that are kept are worked on.
+    Texts are normalised after the join, so only those that are kept are worked on; with `source`
+    only that one's are joined at all.
     """
+    if source is not None:
+        records, routed = (r.where(F.col("source_type") == source) for r in (records, routed))
     facts = ["effective_date", "effective_date_status", "content_hash"]
     kept = routed.where(is_cleaned()).select(ORDER_COLUMN, "group_seq", *facts)
     wanted = records.drop("effective_date").join(kept, ORDER_COLUMN)
@@ -217,13 +221,13 @@ def quarantine_rows(routed: DataFrame, run_id: str) -> DataFrame:
         "source_uri",
         "action",
         "reason",
-        text.preview(F.col("content")).alias("content"),
+        F.col("content_preview").alias("content"),
     )
 
 
 def funnel(routed: DataFrame) -> DataFrame:
     """One row of record counts, raw to cleaned."""
-    reason, filled = F.col("reason"), F.col("content_hash").isNotNull()
+    reason, filled = F.col("reason"), F.col("content_length") > 0
 
     def times(condition: Column, name: str) -> Column:
         return F.count_if(F.coalesce(condition, F.lit(False))).alias(name)
@@ -242,6 +246,11 @@ def funnel(routed: DataFrame) -> DataFrame:
     )
 
 
+def of_knowledge_source(records: DataFrame) -> DataFrame:
+    """File documents. Of cleaned records these are all that retrieval may answer from."""
+    return records.where(F.col("source_type") == KNOWLEDGE_SOURCE)
+
+
 def knowledge_rows(records: DataFrame) -> DataFrame:
-    """Records retrieval may answer from: file documents with some content."""
-    return records.where((F.col("source_type") == KNOWLEDGE_SOURCE) & ~text.is_blank(F.col("content")))
+    """Raw records retrieval may answer from: file documents with some content."""
+    return of_knowledge_source(records).where(~text.is_blank(F.col("content")))

@@ -23,11 +23,15 @@ class PipelineHalt(Exception):
 
 @dataclass(frozen=True)
 class Expectation:
-    """Any condition a row's value must meet; `met` is None for uniqueness, which has no row form."""
+    """Any condition a row's value must meet; `met` is None for uniqueness, which has no row form.
+
+    `shown` names the column that samples are taken from, where that is another.
+    """
 
     name: str
     column: str
     met: Column | None = None
+    shown: str | None = None
 
 
 def not_null(column: str) -> Expectation:
@@ -35,6 +39,11 @@ def not_null(column: str) -> Expectation:
     return Expectation("not_null", column, ~is_blank(F.col(column).cast("string")))
 
 
+def has_content() -> Expectation:
+    """not_null of the content of narrow rows, which carry whether it is blank, and a preview."""
+    return Expectation("not_null", "content", ~F.col("content_blank"), "content_preview")
+
+
 def unique(column: str) -> Expectation:
     """No value twice; null counts as a value."""
     return Expectation("unique", column)
@@ -52,9 +61,10 @@ def valid_date(column: str) -> Expectation:
     return Expectation("valid_date", column, is_calendar_date(F.col(column).cast("string")))
 
 
-def default_suite() -> list[Expectation]:
+def default_suite(rows: DataFrame) -> list[Expectation]:
+    """The contract's suite, for narrow rows or such as still have their content."""
     return [
-        not_null("content"),
+        has_content() if "content_blank" in rows.columns else not_null("content"),
         unique("doc_id"),
         not_null("effective_date"),
         match_regex("effective_date", ISO_DATE_PATTERN),
@@ -78,7 +88,7 @@ def run_suite(rows: DataFrame, expectations: Sequence[Expectation] | None = None
 
     All row conditions are counted in a single pass. Uniqueness counts repeated values, not rows.
     """
-    suite = list(enumerate(expectations if expectations is not None else default_suite()))
+    suite = list(enumerate(expectations if expectations is not None else default_suite(rows)))
     by_row = [(i, e) for i, e in suite if e.met is not None]
     parts = []
     if by_row:
@@ -113,14 +123,14 @@ def failure_samples(
     (ordinal, name, column, position, value). The rank limit is applied in every task before
     rows meet, so an expectation that nearly all rows fail does not gather them.
     """
-    suite = list(enumerate(expectations if expectations is not None else default_suite()))
+    suite = list(enumerate(expectations if expectations is not None else default_suite(rows)))
     parts = []
     for i, e in suite:
         if e.met is None:
             bad = _repeated(rows, e.column).select("at", "value")
         else:
             bad = rows.where(_broken(e)).select(
-                F.col(ORDER_COLUMN).alias("at"), F.col(e.column).cast("string").alias("value")
+                F.col(ORDER_COLUMN).alias("at"), F.col(e.shown or e.column).cast("string").alias("value")
             )
         first = bad.withColumn("ordinal", F.lit(i)).withColumns(
             {"name": F.lit(e.name), "column": F.lit(e.column)}
@@ -146,18 +156,22 @@ def with_samples(results: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
-def halt_reason(results: Sequence[Row]) -> str | None:
-    failed = [r for r in sorted(results, key=lambda r: r["ordinal"]) if not r["success"]]
-    if not failed:
-        return None
-    reasons = "; ".join(f"{r['name']}({r['column']})={r['unexpected']}" for r in failed)
-    return f"bad data before agent -> {reasons}"
+# Fixed value: how a halt announces itself.
+HALT_PREFIX = "bad data before agent -> "
+
+
+def halt_reasons(results: DataFrame) -> DataFrame:
+    """(halt_reason): one row, null when every expectation is met."""
+    item = F.format_string("%s(%s)=%d", "name", "column", "unexpected")
+    broken = F.when(~F.col("success"), F.struct("ordinal", item.alias("item")))
+    listed = results.agg(F.sort_array(F.collect_list(broken)).alias("failed"))
+    text = F.concat(F.lit(HALT_PREFIX), F.array_join("failed.item", "; "))
+    return listed.select(F.when(F.size("failed") > 0, text).alias("halt_reason"))
 
 
 def validate_or_halt(results: DataFrame) -> list[Row]:
     """Collect the suite's few result rows; raise when one failed."""
-    collected = results.collect()
-    reason = halt_reason(collected)
+    reason = halt_reasons(results).first()["halt_reason"]
     if reason:
         raise PipelineHalt(reason)
-    return collected
+    return results.orderBy("ordinal").collect()

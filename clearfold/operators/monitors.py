@@ -7,7 +7,7 @@ that thresholds and history can be computed on it.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,20 @@ def _named(pillar: str, source: Column) -> Column:
     return F.concat(F.lit(f"{pillar}["), source, F.lit("]"))
 
 
+def utc(column: str, rows: DataFrame) -> Column:
+    """A date, or a time with or without a zone, as a time of the UTC clock without one; whatever
+    the session's zone is."""
+    kind = dict(rows.dtypes)[column]
+    if kind == "timestamp":
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(column).cast("timestamp_ntz"))
+    return F.col(column).cast("timestamp_ntz")
+
+
+def utc_literal(now: datetime) -> Column:
+    naive = now.astimezone(timezone.utc).replace(tzinfo=None) if now.tzinfo else now
+    return F.lit(naive.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def hours_since(then: Column, now: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", then, now) / F.lit(1e6) / F.lit(3600.0)
 
@@ -40,7 +54,8 @@ def check_freshness(
     """Hours since each source (source_type, loaded_at) was loaded, against its SLA.
 
     `slas` (source_type, sla_hours) overrides the common SLA per source; it holds one row per
-    source and is left to Spark to place.
+    source and is left to Spark to place. A source that was never loaded pages, without hours.
+    Times without a zone, and dates, are UTC.
     """
     common = F.lit(thresholds.freshness_sla_hours)
     if slas is None:
@@ -49,12 +64,12 @@ def check_freshness(
         known = loaded.join(slas, "source_type", "left").withColumn("sla", F.coalesce("sla_hours", common))
     hours, sla = F.col("hours"), F.col("sla")
     status = (
-        F.when(hours >= sla, PAGE)
+        F.when(hours.isNull() | (hours >= sla), PAGE)
         .when(hours >= sla * thresholds.freshness_warn_ratio, WARN)
         .otherwise(PASS)
     )
-    since = hours_since(F.col("loaded_at"), F.lit(now))
-    aged = known.where(F.col("loaded_at").isNotNull()).withColumn("hours", since)
+    since = hours_since(utc("loaded_at", known), utc_literal(now))
+    aged = known.withColumn("hours", since)
     return aged.select(
         *_check(
             "freshness",
@@ -82,8 +97,11 @@ def check_volume(counts: DataFrame, baseline: DataFrame, thresholds: Thresholds
     base = baseline.select("source_type", F.col("n_rows").alias("base"))
     delta = volume_delta(F.col("n_rows"), F.col("base"))
     detail = F.when(delta.isNull(), F.lit("no baseline yet")).otherwise(
-        F.concat(F.lit("baseline="), F.col("base").cast("string"))
-    )
+        F.concat(
+            F.lit("baseline="), F.col("base").cast("string"),
+            F.lit(" change="), delta.cast("decimal(20,1)").cast("string"), F.lit("%"),
+        )
+    )
     return counts.join(base, "source_type", "left").select(
         *_check(
             "volume",

@@ -88,12 +88,13 @@ def test_one_key_holding_most_rows(spark):
 
 
 def test_hot_key_is_spread_over_tasks(spark):
-    """Records look up their group's survivor on (doc_id, salt), never on doc_id alone."""
+    """Records look up their group's survivor on (doc_id, salt), never on doc_id alone; other joins
+    are on the unique position."""
     frame = records(spark, CASES)
     distinct = cleaning.distinct_contents(cleaning.narrow(cleaning.stage(frame)))
     plan = cleaning.decide(distinct)._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
-    assert joins and all("salt" in line for line in joins)
+    assert joins and all("salt" in line or "ingest_seq" in line for line in joins)
     assert "Window" not in plan
 
 
@@ -145,3 +146,24 @@ def test_knowledge_rows_are_files_with_content(spark):
     ]
     kept = cleaning.knowledge_rows(records(spark, rows)).select(F.collect_list("doc_id")).first()[0]
     assert kept == ["a"]
+
+
+def test_a_record_without_a_key_keeps_its_text(spark):
+    frame = records(spark, [(1, None, "file", "2026-01-01", "v1", 1.0, "text"), (2, None, "file", None, "v1", 1.0, "")])
+    found = {r.ingest_seq: r for r in cleaning.outcomes(cleaning.narrow(cleaning.stage(frame))).collect()}
+    assert (found[1].doc_id, found[1].action, found[1].content_preview) == ("", None, "text")
+    assert found[1].content_hash is not None
+    assert (found[2].action, found[2].reason) == ("reject", "empty_content")
+
+
+def test_source_filter_lies_below_the_text_join(spark):
+    frame = records(spark, CASES)
+    routed = cleaning.outcomes(cleaning.narrow(cleaning.stage(frame)))
+    files = cleaning.cleaned_texts(frame, routed, "file")
+    assert {r.source_type for r in files.collect()} <= {"file"}
+    every = cleaning.cleaned_texts(frame, routed).where("source_type = 'file'")
+    assert sorted(map(str, files.collect())) == sorted(map(str, every.collect()))
+    plan = files._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert any("Filter" in line and "source_type" in line for line in plan[join:])
+    assert not any("Filter" in line and "source_type" in line for line in plan[:join])

@@ -50,7 +50,7 @@ def test_volume_warns_in_both_directions(spark):
         "volume[f]": "PASS",
     }
     assert checks["volume[d]"]["detail"] == checks["volume[f]"]["detail"] == "no baseline yet"
-    assert checks["volume[a]"]["detail"] == "baseline=18" and checks["volume[a]"]["value"] == 13
+    assert checks["volume[a]"]["detail"] == "baseline=18 change=-27.8%" and checks["volume[a]"]["value"] == 13
 
 
 SCHEMA = "doc_id string, effective_date string, content string"
@@ -113,3 +113,28 @@ def test_low_ocr_tier(spark):
 def test_naive_clock_is_utc():
     assert parse_now("2024-01-31").tzinfo is timezone.utc
     assert datetime(2024, 1, 31, tzinfo=timezone.utc) == parse_now("2024-01-31")
+
+
+def test_never_loaded_source_pages(spark):
+    loads = spark.createDataFrame([("a", None), ("b", parse_now("2026-01-01T01:00"))], "source_type string, loaded_at timestamp")
+    found = {r.name: (r.status, r.value) for r in M.check_freshness(loads, parse_now("2026-01-01T02:00")).collect()}
+    assert found == {"freshness[a]": ("PAGE", None), "freshness[b]": ("PASS", 1.0)}
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            loads = spark.sql(
+                "SELECT 'ntz' AS source_type, timestamp_ntz'2026-01-01 10:00:00' AS loaded_at UNION ALL "
+                "SELECT 'day', CAST(date'2026-01-01' AS timestamp_ntz)"
+            )
+            zoned = spark.sql("SELECT 'z' AS source_type, timestamp'2026-01-01T10:00:00Z' AS loaded_at")
+            now = parse_now("2026-01-01T12:00:00+00:00")
+            rows = [*M.check_freshness(loads, now).collect(), *M.check_freshness(zoned, now).collect()]
+            found.append(sorted((r.name, r.value) for r in rows))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found[0] == found[1] == [("freshness[day]", 12.0), ("freshness[ntz]", 2.0), ("freshness[z]", 2.0)]
