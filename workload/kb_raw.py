@@ -19,16 +19,13 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A given table. With a unique key, one with fewer input splits than cores is spread out.
+    """A given table; with a unique key, always spread over the session's shuffle partitions.
 
-    The test tables are single-file, single-row-group, so one task would do all the text work.
-    A table of many splits, as on a cluster, is left as it was read.
+    The given files may be few and large, or be one row group, which one task would have to read
+    and work through. A join on the key uses the same partitioning.
     """
     rows = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, key)
-    return rows
+    return rows.repartition(key) if key else rows
 
 
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +36,7 @@ def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = "CASE lang WHEN 'de' THEN 'postgres' WHEN 'es' THEN 'jira' ELSE 'file' END"
     return docs.join(labels, "doc_id", "left").selectExpr(
         f"doc_id AS {ORDER_COLUMN}",
-        "substring(sha2(substring(text, 1, 48), 256), 1, 12) AS doc_id",
+        "substring(sha2(substring_index(text, '\\n', 1), 256), 1, 12) AS doc_id",
         f"{source} AS source_type",
         f"concat({source}, '/', string(doc_id)) AS source_uri",
         "substring_index(text, '\\n', 1) AS title",

@@ -39,7 +39,7 @@ def _parsed(c: str) -> str:
 
 _KB = r"""kb AS (
   SELECT d.doc_id AS ingest_seq,
-         substr(sha256(substr(d.text, 1, 48)), 1, 12) AS doc_id,
+         substr(sha256(split_part(d.text, chr(10), 1)), 1, 12) AS doc_id,
          CASE d.lang WHEN 'de' THEN 'postgres' WHEN 'es' THEN 'jira' ELSE 'file' END AS source_type,
          CASE d.lang WHEN 'de' THEN 'postgres' WHEN 'es' THEN 'jira' ELSE 'file' END
            || '/' || CAST(d.doc_id AS VARCHAR) AS source_uri,
@@ -132,9 +132,9 @@ _QUESTIONS = f"""asked AS (
   SELECT question_id, sqrt(CAST(sum(tf * tf) AS DOUBLE)) AS nq FROM q_tf GROUP BY ALL
 ), marked AS (
   SELECT question_id, question,
-         list_slice(list_filter(list_transform(range(1, len(words) + 1), lambda i:
+         list_filter(list_transform(range(1, len(words) + 1), lambda i:
              CASE WHEN length(words[i]) >= 4 AND list_position(words, words[i]) = i THEN words[i] END),
-           lambda w: w IS NOT NULL), 1, 2) AS keywords
+           lambda w: w IS NOT NULL) AS keywords
   FROM asked
 )"""
 
@@ -197,7 +197,7 @@ def _reason(condition: str, prefix: str = _ALL) -> str:
 
 def _freshness(loads: str, sla: str) -> str:
     return f"""SELECT 'freshness' AS pillar, 'freshness[' || source_type || ']' AS name,
-       CASE WHEN hours >= sla THEN 'PAGE' WHEN hours >= sla * 0.5 THEN 'WARN' ELSE 'PASS' END AS status,
+       CASE WHEN hours IS NULL OR hours >= sla THEN 'PAGE' WHEN hours >= sla * 0.5 THEN 'WARN' ELSE 'PASS' END AS status,
        hours AS value, 'SLA=' || CAST(CAST(sla AS DECIMAL(10,1)) AS VARCHAR) || 'h' AS detail
 FROM (SELECT *, {sla} AS sla FROM ({loads}))"""
 
@@ -230,7 +230,7 @@ _CHECKS = f"""facts AS (
   UNION ALL
   SELECT 'volume', 'volume[' || source_type || ']',
          CASE WHEN abs(delta) >= 20 THEN 'WARN' ELSE 'PASS' END, CAST(n_rows AS DOUBLE),
-         coalesce('baseline=' || CAST(base AS VARCHAR), 'no baseline yet') FROM volumes
+         coalesce('baseline=' || CAST(base AS VARCHAR) || ' change=' || CAST(CAST(delta AS DECIMAL(20,1)) AS VARCHAR) || '%', 'no baseline yet') FROM volumes
   UNION ALL
   SELECT 'distribution', 'null_rate[effective_date]',
          CASE WHEN n = 0 OR CAST(undated AS DOUBLE) / n * 100.0::DOUBLE >= 10 THEN 'WARN' ELSE 'PASS' END,
@@ -320,6 +320,13 @@ _REPORT_SECTIONS = f"""listed AS (
   SELECT ordinal, 'e.g. ' || string_agg(coalesce(value, 'null'), ', ' ORDER BY position) AS detail
   FROM samples GROUP BY ordinal
 ), report AS (
+  SELECT 'run' AS section, 'run_status' AS item,
+         CASE WHEN bool_and(success) THEN 'PUBLISHED' ELSE 'HALTED' END AS status, NULL::DOUBLE AS value,
+         coalesce('bad data before agent -> ' || string_agg(name || '(' || "column" || ')=' || unexpected, '; '
+           ORDER BY ordinal) FILTER (NOT success), '') AS detail FROM suite
+  UNION ALL
+  SELECT 'run', 'embedded_records', '', CAST(n_rows AS DOUBLE), '' FROM edges WHERE to_node = 'vector_store'
+  UNION ALL
   SELECT 'funnel' AS section, name AS item, '' AS status, CAST(value AS DOUBLE) AS value, '' AS detail
   FROM (UNPIVOT funnel ON COLUMNS(*) INTO NAME name VALUE value)
   UNION ALL
@@ -343,7 +350,7 @@ ORACLE: dict[str, str] = {
           * 288230376151711744 + ingest_seq AS ingest_seq, doc_id, source_type, title FROM kb""",
     "source_counts": f"""WITH {_KB} SELECT source_type, count(kb.ingest_seq) AS n_rows
         FROM (VALUES ('postgres'), ('jira'), ('file')) s(source_type)
-        LEFT JOIN kb USING (source_type) GROUP BY ALL""",
+        FULL JOIN kb USING (source_type) GROUP BY ALL""",
     "cleaned_rows": f"""{_ALL} SELECT ingest_seq, doc_id, source_type, source_uri, title,
         effective_date, version, ocr_confidence, content, effective_date_status, content_hash
         FROM cleaned""",
@@ -401,6 +408,11 @@ ORACLE: dict[str, str] = {
         FROM kb WHERE contains(content, chr(65533)) HAVING count(*) > 0""",
     "schema_drift": """SELECT key, count(*) FILTER (NOT list_contains(json_keys(props), key)) AS n_missing,
         count(*) AS n_rows FROM events, (VALUES ('k'), ('source')) k(key) GROUP BY key""",
+    "schema_check": """WITH d AS (SELECT key FROM events, (VALUES ('k'), ('source')) k(key)
+          WHERE NOT list_contains(json_keys(props), key) GROUP BY key)
+        SELECT 'schema' AS pillar, 'schema_contract' AS name, CASE WHEN count(*) > 0 THEN 'PAGE' ELSE 'PASS' END AS status,
+               CAST(count(*) AS DOUBLE) AS value,
+               coalesce('missing: ' || string_agg(key, ', ' ORDER BY key), 'stable') AS detail FROM d""",
     "low_ocr_warn": f"""WITH {_KB}, f AS (SELECT count(*) AS n, count(*) FILTER (
           ocr_confidence >= 0.50 AND ocr_confidence < 0.90) AS low FROM kb)
         SELECT 'distribution' AS pillar, 'low_ocr' AS name,
