@@ -6,8 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.artefacts import ARTEFACTS
 from workload.oracle import ORACLE
-from workload.queries import QUERIES
+from workload.queries import QUERIES as OPERATORS
+
+QUERIES = OPERATORS | ARTEFACTS
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (

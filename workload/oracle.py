@@ -456,3 +456,48 @@ ORACLE: dict[str, str] = {
     "quality_report": f"""{_BOTH_SEARCH}, {_EVALUATION}, {_FUNNEL}, {_CHECKS}, {_LINEAGE},
         {_broken("cleaned")}, {_REPORT_SECTIONS} SELECT '{RUN_ID}' AS run_id, * FROM report""",
 }
+
+
+def _published(condition: str) -> str:
+    """Cleaned records of a run over the sources that meet the condition, unreadable days left out;
+    positions as `union_sources` gives them."""
+    return f"""WITH {_KB}, mended AS (
+  SELECT * REPLACE (nullif(effective_date, '2026-13-45') AS effective_date,
+    (CASE source_type WHEN 'postgres' THEN 0 WHEN 'jira' THEN 1 ELSE 2 END)::BIGINT * 288230376151711744 + ingest_seq AS ingest_seq)
+  FROM kb WHERE {condition}
+), {_staged("mended")}, {_ROUTED}"""
+
+
+_STORED = "SELECT ingest_seq AS chunk_order, doc_id, version, effective_date, content AS text"
+_HALTING = f"""WITH {_KB}, moved AS (
+  SELECT * REPLACE ((CASE source_type WHEN 'postgres' THEN 0 WHEN 'jira' THEN 1 ELSE 2 END)::BIGINT * 288230376151711744 + ingest_seq AS ingest_seq)
+  FROM kb
+), {_staged("moved")}, {_ROUTED}, {_broken("cleaned")}"""
+
+ORACLE |= {
+    "csv_round_trip": f"""WITH {_KB} SELECT doc_id, source_type, source_uri, title, effective_date,
+        CASE source_type WHEN 'file' THEN version END AS version,
+        CASE source_type WHEN 'file' THEN ocr_confidence ELSE 1.0::DOUBLE END AS ocr_confidence, content
+        FROM kb WHERE source_type IN ('postgres', 'file')""",
+    "issues_round_trip": f"""WITH {_KB} SELECT doc_id, source_type, 'jira/' || doc_id AS source_uri, title,
+        effective_date, CAST(NULL AS VARCHAR) AS version, 1.0::DOUBLE AS ocr_confidence, content
+        FROM kb WHERE source_type = 'jira'""",
+    "raw_snapshot": f"WITH {_KB} SELECT * FROM kb",
+    "published_store": f"""{_published("source_type IN ('jira', 'file')")} {_STORED}
+        FROM cleaned WHERE source_type = 'file'""",
+    "baseline_after_publish": f"""WITH {_KB} SELECT s.source_type,
+        count(kb.ingest_seq) FILTER (s.source_type <> 'postgres') AS n_rows
+        FROM (VALUES ('postgres'), ('jira'), ('file')) s(source_type)
+        LEFT JOIN kb ON kb.source_type = s.source_type GROUP BY ALL""",
+    "run_state_after_halt": """SELECT * FROM (VALUES
+        (0::BIGINT, '2026-03-01T03:00', 'PUBLISHED', '2026-03-01T03:00', true),
+        (1::BIGINT, '2026-03-02T03:00', 'PUBLISHED', '2026-03-02T03:00', true),
+        (2::BIGINT, '2026-03-02T03:00', 'HALTED', '2026-03-02T03:00', false)
+        ) t(seq, run_id, status, last_success_run, readers_see_it)""",
+    "gate_reason": f"""{_HALTING} SELECT '2026-03-02T03:00' AS run_id, 'run_status' AS item, 'HALTED' AS status,
+        NULL::DOUBLE AS value, 'bad data before agent -> ' || string_agg(name || '(' || "column" || ')=' || unexpected,
+          '; ' ORDER BY ordinal) FILTER (NOT success) AS detail FROM suite
+        UNION ALL SELECT '2026-03-02T03:00', 'embedded_records', '', 0.0::DOUBLE, ''""",
+    "rolled_back_store": f"""{_published("true")} SELECT ingest_seq AS chunk_order, doc_id, 'v0' AS version,
+        effective_date, content AS text, 'file' AS source FROM cleaned WHERE source_type = 'file'""",
+}
