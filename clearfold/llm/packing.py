@@ -10,10 +10,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -22,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from clearfold.llm.common import id_and_bytes
+from clearfold.llm.common import id_and_bytes, mix, seeds
 
 LENGTH = 2048
 END_ID = 1
@@ -31,9 +28,6 @@ SHARD_TOKENS = 1 << 21
 K1, B = 1.2, 0.75
 # Terms of one document lead nowhere; those of a quarter of all weigh next to nothing.
 COMMON_SHARE = 4
-# Token boundaries of byte-level BPE lie before a space that something visible follows.
-_CUT = re.compile(r" (?=\S)")
-
 
 # Fixed value: the pattern of the tokenizer's pre-tokenisation.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -47,88 +41,85 @@ def _bytes_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    """The file's tokenizer, the same vocabulary as ranks, and its special tokens.
+class PackTokenizer:
+    """Ids of texts, and the terms that they spell.
 
-    Ranks merge as the file's list of merges does if ids follow that list, which is checked.
-    """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    with open(path, encoding="utf-8") as file:
-        content = json.load(file)
-    specials = [t["content"] for t in content["added_tokens"]]
-    vocabulary = {t: i for t, i in content["model"]["vocab"].items() if t not in specials}
-    merges = [m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"]]
-    if any(vocabulary["".join(m)] != 256 + k for k, m in enumerate(merges)):
-        raise ValueError("the ids do not follow the merges")
-    of = _bytes_of()
-    ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
-    own = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return Tokenizer.from_file(path), own, specials
-
-
-class CachedTokenizer:
-    """Ids of texts as 16-bit integers; ids of the parts between spaces are cached.
-
-    Parts are merged by rank, which gives the tokenizer's ids faster. Texts that spell out a special
-    token go to the tokenizer itself, which cuts them there first.
+    Texts are merged by rank, which gives the tokenizer's ids faster: ranks merge as the file's list
+    of merges does if ids follow that list, which is checked. Texts that spell out a special token go
+    to the tokenizer itself, which cuts them there first.
     """
 
-    CACHED = 400_000
-
     def __init__(self, path: str):
-        self.tokenizer, self.ranks, self.specials = _tokenizer(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids do not fit 16 bits")
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-
-    def _part(self, text: str) -> bytes:
-        return array("H", self.ranks.encode_ordinary(text)).tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[str]]]:
-        """The ids of each text, and its parts."""
-        known = self.known
-        for text in texts:
-            if len(known) > self.CACHED:
-                known.clear()
-            head, *rest = _CUT.split(text)
-            for part in set(rest).difference(known):
-                known[part] = self._part(" " + part)
-            if any(s in text for s in self.specials):
-                yield self._whole(text), [head, *rest]
-            else:
-                yield self._part(head) + b"".join([known[p] for p in rest]), [head, *rest]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        self.specials = [t["content"] for t in content["added_tokens"]]
+        vocabulary = {t: i for t, i in content["model"]["vocab"].items() if t not in self.specials}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"]]
+        if any(vocabulary["".join(m)] != 256 + k for k, m in enumerate(merges)):
+            raise ValueError("the ids do not follow the merges")
+        of = _bytes_of()
+        ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
+        self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.begins = np.ones(size, bool)
+        for token, i in ranks.items():
+            self.begins[i] = not token[:1].isalnum() and token[0] < 128
+        self.worth = mix(np.arange(1, size + 1, dtype=np.uint64))
+
+    def encode(self, text: str) -> np.ndarray:
+        if any(s in text for s in self.specials):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.ranks.encode_to_numpy(text, disallowed_special=())
+
+    def terms(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct words, as hashes of their ids, and how often each occurs. A word begins with
+        an id that spells a space or a sign first."""
+        if not len(ids):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        first = self.begins[ids]
+        first[0] = True
+        starts = np.flatnonzero(first)
+        place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+        words = np.add.reduceat(self.worth[ids] * _PLACE[np.minimum(place, len(_PLACE) - 1)], starts)
+        return np.unique(words, return_counts=True)
+
+
+_PLACE = seeds(64, 31) | np.uint64(1)
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> PackTokenizer:
+    return PackTokenizer(path)
+
+
+Terms = tuple[np.ndarray, np.ndarray]
 
 
 class Index:
-    """BM25 over the documents of a shard."""
-
-    def __init__(self, counts: list[Counter]):
-        numbers: dict[str, int] = {}
-        terms = [np.array([numbers.setdefault(w, len(numbers)) for w in c], np.int64) for c in counts]
-        times = np.array([n for c in counts for n in c.values()], np.float64)
-        sizes = np.array([len(t) for t in terms])
-        lengths = np.array([c.total() for c in counts], np.float64)
-        every = np.concatenate(terms)
-        owner = np.repeat(np.arange(len(counts)), sizes)
-        df = np.bincount(every, minlength=len(numbers))
-        useful = (df > 1) & (df * COMMON_SHARE <= max(8, len(counts)))
+    """BM25 over the documents of a shard, each given by its terms and their numbers."""
+
+    def __init__(self, documents: list[Terms]):
+        self.n = len(documents)
+        owner = np.repeat(np.arange(self.n), [len(t) for t, _ in documents])
+        times = np.concatenate([c for _, c in documents]).astype(np.float64)
+        distinct, every = np.unique(np.concatenate([t for t, _ in documents]), return_inverse=True)
+        lengths = np.bincount(owner, times, self.n)
+        df = np.bincount(every, minlength=len(distinct))
+        useful = (df > 1) & (df * COMMON_SHARE <= max(8, self.n))
         keep = useful[every]
         every, owner, times = every[keep], owner[keep], times[keep]
-        idf = np.log1p((len(counts) - df + 0.5) / (df + 0.5))
+        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean()))
         order = np.argsort(every, kind="stable")
         self.documents = owner[order]
         self.weights = (idf[every] * times * (K1 + 1) / (times + norm[owner]))[order]
-        self.begins = np.searchsorted(every[order], np.arange(len(numbers) + 1))
-        self.terms = np.split(every, np.cumsum(np.bincount(owner, minlength=len(counts)))[:-1])
-        self.n = len(counts)
+        self.begins = np.searchsorted(every[order], np.arange(len(distinct) + 1))
+        self.terms = np.split(every, np.cumsum(np.bincount(owner, minlength=self.n))[:-1])
 
     def neighbours(self, seed: int) -> list[int]:
         """Documents that share a term with the seed, best first; ties by place."""
@@ -178,17 +169,17 @@ def cuts(total: int, length: int) -> list[int]:
 Piece = tuple[int | None, int, int, int, int, int, int]
 
 
-def pack_shard(ids: list[int | None], tokens: list[np.ndarray], counts: list[Counter], length: int) -> list[Piece]:
+def pack_shard(ids: list[int | None], tokens: list[np.ndarray], terms: list[Terms], length: int) -> list[Piece]:
     """doc_id, start, length, crc32 of the ids, tokens of the document, sequence of the shard, offset."""
     sizes = [len(t) for t in tokens]
     begins = cuts(sum(sizes), length)
     pieces: list[Piece] = []
     sequence, position = 0, 0
-    for document in arrange(Index(counts), sizes, length):
+    for document in arrange(Index(terms), sizes, length):
         start = 0
         while start < sizes[document]:
             take = min(sizes[document] - start, begins[sequence + 1] - position)
-            crc = zlib.crc32(tokens[document][start : start + take].astype("<u4").tobytes())
+            crc = zlib.crc32(tokens[document][start : start + take].tobytes())
             offset = position - begins[sequence]
             pieces.append((ids[document], start, take, crc, sizes[document], sequence, offset))
             start, position = start + take, position + take
@@ -201,27 +192,28 @@ NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 
 
 def _packed(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    tokenizer = CachedTokenizer(path)
+    tokenizer = tokenizer_of(path)
     next_sequence = TaskContext.get().partitionId() << 33
-    ids, tokens, counts, size = [], [], [], 0
+    ids, tokens, terms, size = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
         nonlocal next_sequence, size
-        columns = list(zip(*pack_shard(ids, tokens, counts, length)))
+        columns = list(zip(*pack_shard(ids, tokens, terms, length)))
         arrays = [pa.array(c, pa.int64()) for c in columns]
         sequences = np.array(columns[5], np.int64)
         arrays[5] = pa.array(sequences + next_sequence)
         next_sequence += int(sequences.max()) + 1
-        ids.clear(), tokens.clear(), counts.clear()
+        ids.clear(), tokens.clear(), terms.clear()
         size = 0
         return pa.RecordBatch.from_arrays(arrays, NAMES)
 
     for batch in batches:
-        texts = batch.column("text").cast(pa.string()).to_pylist()
-        for doc_id, (raw, parts) in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(texts)):
+        texts = batch.column("text").cast(pa.string())
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
+            own = tokenizer.encode(text.as_py())
             ids.append(doc_id)
-            tokens.append(np.append(np.frombuffer(raw, "<u2"), np.uint16(end_id)))
-            counts.append(Counter(parts))
+            terms.append(tokenizer.terms(own))
+            tokens.append(np.append(own, np.uint32(end_id)))
             size += len(tokens[-1])
             if len(ids) >= SHARD_DOCUMENTS or size >= SHARD_TOKENS:
                 yield flush()
