@@ -55,18 +55,23 @@ def test_empty_table(docs_of):
 
 
 def test_neighbours_share_terms():
-    from collections import Counter
-
-    shards = ["red fox", "blue sea", "red fox den", "sea blue boat", "none"]
-    index = packing.Index([Counter(s.split()) for s in shards])
+    tokenizer = packing.tokenizer_of(PATH)
+    shards = [" red fox", " blue sea", " red fox den", " sea blue boat", " none"]
+    index = packing.Index([tokenizer.terms(tokenizer.encode(s)) for s in shards])
     assert index.neighbours(0) == [2] and index.neighbours(3) == [1] and index.neighbours(4) == []
     assert packing.arrange(index, [10] * 5, 20) == [0, 2, 1, 3, 4]
     assert packing.cuts(20 + 13, 20) == [0, 20, 28, 32, 33]
 
 
-def test_tokenizer_cache_keeps_the_ids():
-    tokenizer = packing.CachedTokenizer(PATH)
-    tokenizer.CACHED = 3
-    texts = ["a  b\n c", " lead", "tail ", "it's  <|endoftext|> x", "\x1c \x85 y", "", "word word"]
+def test_ids_are_the_tokenizers():
+    tokenizer = packing.tokenizer_of(PATH)
+    texts = ["a  b\n c", " lead", "tail ", "it's  <|endoftext|> x", "\x1c \x85 y", "", "word word", "Größe 字 ½"]
     whole = [tokenizer.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(ids, "<u2").tolist() for ids, _ in tokenizer.encode(texts)] == whole
+    assert [tokenizer.encode(t).tolist() for t in texts] == whole
+
+
+def test_terms_are_words_with_their_numbers():
+    tokenizer = packing.tokenizer_of(PATH)
+    one, numbers = tokenizer.terms(tokenizer.encode(" unforeseen fox, unforeseen end."))
+    assert sorted(numbers) == [1, 1, 1, 1, 2]
+    assert set(tokenizer.terms(tokenizer.encode(" fox"))[0]) <= set(one)
