@@ -1,18 +1,23 @@
-"""Term-vector knowledge store and exact cosine top-k search.
-
-The store is streamed past the broadcast questions. Only the terms a question asks for leave the
-scan; they are brought together once per chunk, narrow, and every question's score with that
-chunk is then summed inside the task. Question-chunk pairs, of which a frequent term makes as
-many as there are chunks, never reach a shuffle: each task passes on its k best per question.
-
-Questions are broadcast in blocks of a bounded number of terms; more questions mean more blocks,
-not a larger broadcast.
+"""Term-vector knowledge store and exact cosine top-k search that leaves most pairs unformed.
+
+A question's vector is split in two: its rare terms, by the number of chunks that hold them, and the
+frequent rest, whose share of the norm stays below a bound. Only rare terms form question-chunk
+pairs. By Cauchy-Schwarz the rest can add no more to a cosine than its share of the question's norm,
+so
+
+* for a least score, the bound is that score: a chunk without a rare term cannot reach it, and a
+  pair is finished with the frequent terms only where rare part and bound together can;
+* for the k best, the k-th best rare part is what a pair must be able to reach; where it does not
+  exceed the bound, the question is scored with all its terms, as a question of frequent words alone
+  always is (`unsettled` counts them).
+
+No term and no pair that matters is left out; scores are those of the whole vectors. The store is
+scanned once, for the asked terms' postings, which are written; all joins are shuffled unless what
+Spark finds written is small enough to be broadcast.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,9 +25,12 @@ from pyspark.sql import functions as F
 from clearfold.functions import vectors
 from clearfold.schema import ORDER_COLUMN
 from clearfold.settings import NO_ANSWER_DOC, NO_ANSWER_TEXT
+from clearfold.sources.tables import materialised
 
-# Question terms broadcast at once, at some 200 bytes each.
-BLOCK_TERMS = 500_000
+# Share of a question's norm that its frequent terms may have in a search for the k best.
+FREQUENT_SHARE = 0.5
+# Rounding of the bounds' arithmetic, always to the side of finishing a pair.
+SLACK = 1e-9
 
 _CHUNK = ["store_id", "chunk_order"]
 _ASKED = ["store_id", "question_id"]
@@ -64,46 +72,58 @@ def embed_questions(questions: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(embedded: DataFrame, block_terms: int) -> list[DataFrame]:
-    total = embedded.agg(F.sum(F.size("q_terms"))).first()[0] or 0
-    n = max(1, -(-total // block_terms))
-    if n == 1:
-        return [embedded]
-    block = F.pmod(F.xxhash64("question_id"), F.lit(n))
-    return [embedded.where(block == b) for b in range(n)]
+class _Asked:
+    """Postings of the asked terms, and the questions' terms split into rare and frequent ones.
 
-
-def _scores(store: DataFrame, embedded: DataFrame) -> DataFrame:
-    """Exact cosine of every (question, chunk) that shares a term; meant to be reduced at once.
-
-    The repartition puts a chunk's asked terms into one task, so that grouping by chunk and
-    question needs no exchange of its own. (explode_outer, because for a plain inline Spark adds
-    a filter on the array's size, which would tokenise every text a second time.)
+    `share`: the frequent terms' norm stays below this share of the question's. Terms that no chunk
+    holds are in the norm only.
     """
-    asked = F.broadcast(
-        embedded.select(
-            "question_id",
-            "q_norm",
-            F.inline(F.arrays_zip("q_terms", "q_counts")).alias("term", "q_tf"),
+
+    def __init__(self, store: DataFrame, questions: DataFrame, share: float):
+        embedded = embed_questions(questions)
+        terms = embedded.select(
+            "question_id", "q_norm", F.inline(F.arrays_zip("q_terms", "q_counts")).alias("term", "q_tf")
         )
-    )
-    held = (
-        store.select(*_CHUNK, "norm", F.explode_outer(F.arrays_zip("terms", "counts")).alias("t"))
-        .select(*_CHUNK, "norm", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
-        .join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
-        .repartition("chunk_order")
-    )
-    dots = (
-        held.join(asked, "term")
-        .groupBy(*_CHUNK, "question_id")
-        .agg(
-            F.sum(F.col("q_tf") * F.col("tf")).alias("dot"),
-            F.max("norm").alias("norm"),
-            F.max("q_norm").alias("q_norm"),
+        held = store.select(*_CHUNK, "norm", F.explode_outer(F.arrays_zip("terms", "counts")).alias("t"))
+        held = held.select(*_CHUNK, "norm", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
+        self.postings = materialised(held.join(terms.select("term").distinct(), "term", "left_semi"))
+        holders = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
+        often_first = W.partitionBy("question_id").orderBy(F.desc("holders"), "term")
+        squares = F.sum(F.col("q_tf") * F.col("q_tf")).over(often_first)
+        frequent = F.col("squares") < F.pow(F.col("q_norm") * share, F.lit(2)) * (1 - SLACK)
+        split = terms.join(holders, "term").withColumn("squares", squares).withColumn("frequent", frequent)
+        rest = F.max(F.when(F.col("frequent"), F.col("squares"))).over(W.partitionBy("question_id"))
+        bound = F.sqrt(F.coalesce(rest, F.lit(0)).cast("double")) / F.col("q_norm")
+        self.terms = materialised(split.withColumn("bound", bound).drop("squares", "holders"))
+
+    def dots(self, terms: DataFrame) -> DataFrame:
+        """Dot products of the (question, chunk) pairs that share one of the terms."""
+        return (
+            self.postings.join(terms, "term")
+            .groupBy(*_CHUNK, "question_id")
+            .agg(
+                F.sum(F.col("q_tf") * F.col("tf")).alias("dot"),
+                *(F.max(c).alias(c) for c in ("norm", "q_norm", "bound")),
+            )
         )
-    )
-    score = vectors.cosine(F.col("dot"), F.col("q_norm"), F.col("norm"))
-    return dots.select(*_ASKED, "chunk_order", score.alias("score"))
+
+    def rare(self) -> DataFrame:
+        pairs = self.dots(self.terms.where("NOT frequent"))
+        return pairs.withColumn("part", vectors.cosine(F.col("dot"), F.col("q_norm"), F.col("norm")))
+
+    def finished(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the frequent terms' part added: whole scores."""
+        wanted = pairs.select(*_CHUNK, "question_id").join(self.terms.where("frequent"), "question_id")
+        more = wanted.join(self.postings.drop("norm"), [*_CHUNK, "term"])
+        more = more.groupBy(*_CHUNK, "question_id").agg(F.sum(F.col("q_tf") * F.col("tf")).alias("more"))
+        both = pairs.join(more, [*_CHUNK, "question_id"], "left")
+        dot = F.col("dot") + F.coalesce("more", F.lit(0))
+        return _scored(both, dot)
+
+
+def _scored(pairs: DataFrame, dot: Column) -> DataFrame:
+    score = vectors.cosine(dot, F.col("q_norm"), F.col("norm"))
+    return pairs.select(*_ASKED, "chunk_order", score.alias("score"))
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -112,37 +132,54 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _by_block(store: DataFrame, questions: DataFrame, block_terms: int, reduce_scores) -> DataFrame:
-    """Reduce the scores of each block of questions, so that whatever is kept per question is
-    bounded per block as well."""
-    blocks = _blocks(embed_questions(questions), block_terms)
-    return reduce(DataFrame.unionByName, [reduce_scores(_scores(store, b)) for b in blocks])
-
-
-def similar(
-    store: DataFrame, questions: DataFrame, min_score: float, block_terms: int = BLOCK_TERMS
-) -> DataFrame:
+def similar(store: DataFrame, questions: DataFrame, min_score: float) -> DataFrame:
     """All (question, chunk) pairs sharing a term and with a cosine of at least min_score."""
-    return _by_block(
-        store, questions, block_terms, lambda scores: scores.where(F.col("score") >= min_score)
-    )
-
-
-def matches(
-    store: DataFrame, questions: DataFrame, k: int, block_terms: int = BLOCK_TERMS
-) -> DataFrame:
-    """The k best chunks per store and question among those that share a term with it."""
-    return _by_block(store, questions, block_terms, lambda scores: _best(scores, k))
+    asked = _Asked(store, questions, min_score)
+    reach = F.col("part") + F.col("bound") + SLACK >= min_score
+    scores = asked.finished(materialised(asked.rare().where(reach)))
+    return scores.where(F.col("score") >= min_score)
+
+
+def _settled(rare: DataFrame, k: int) -> DataFrame:
+    """(store_id, question_id, least): the k-th best rare part where it exceeds what a chunk without
+    rare terms could reach."""
+    order = W.partitionBy(*_ASKED).orderBy(F.desc("part"))
+    places = rare.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    kth = places.where(F.col("place") == k).where(F.col("part") > F.col("bound") + SLACK)
+    return kth.select(*_ASKED, F.col("part").alias("least"))
+
+
+def unsettled(store: DataFrame, questions: DataFrame, k: int, stores=("kb",)) -> DataFrame:
+    """(store_id, n_questions): questions that the rare terms alone do not settle."""
+    asked = _Asked(store, questions, FREQUENT_SHARE)
+    named = F.explode(F.array(*[F.lit(s) for s in stores])).alias("store_id")
+    every = asked.terms.select("question_id").distinct().select("question_id", named)
+    open_ones = every.join(_settled(asked.rare(), k), _ASKED, "left_anti")
+    return open_ones.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_questions"))
+
+
+def matches(store: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """The k best chunks per store and question among those that share a term with it; written."""
+    asked = _Asked(store, questions, FREQUENT_SHARE)
+    rare = materialised(asked.rare())
+    least = materialised(_settled(rare, k))
+    reach = F.col("part") + F.col("bound") + SLACK >= F.col("least")
+    pruned = asked.finished(rare.join(least, _ASKED).where(reach).drop("least"))
+    n_stores = asked.postings.select("store_id").distinct().count()
+    done = least.groupBy("question_id").count().where(F.col("count") == n_stores).select("question_id")
+    whole = asked.dots(asked.terms.join(done, "question_id", "left_anti"))
+    whole = _scored(whole.join(least, _ASKED, "left_anti"), F.col("dot"))
+    return materialised(_best(pruned.unionByName(whole), k))
 
 
 def search(
-    store: DataFrame, questions: DataFrame, k: int = 1, block_terms: int = BLOCK_TERMS
+    store: DataFrame, questions: DataFrame, k: int = 1
 ) -> DataFrame:
     """Top k per store and question: (store_id, question_id, rank, chunk_order, score).
 
     When fewer than k chunks match, the store's first chunks follow with score 0.
     """
-    found = matches(store, questions, k, block_terms)
+    found = matches(store, questions, k)
     in_order = W.partitionBy("store_id").orderBy("chunk_order")
     head = (
         store.select(*_CHUNK)
@@ -158,28 +195,18 @@ def search(
     return _best(once, k).select(*_ASKED, "rank", "chunk_order", "score")
 
 
-def cited_matches(
-    store: DataFrame, questions: DataFrame, k: int, block_terms: int = BLOCK_TERMS
-) -> DataFrame:
-    """Matches with their chunk's text and metadata.
-
-    A block's matches are at most k per store for its bounded number of questions, so they are
-    broadcast and the store, texts included, is only filtered.
-    """
+def cited_matches(store: DataFrame, questions: DataFrame, k: int) -> DataFrame:
+    """Matches with their chunk's text and metadata. The written matches are k per store and
+    question; Spark broadcasts them if they turned out small, and shuffles otherwise."""
     chunk = store.select(*_CHUNK, "doc_id", "version", "effective_date", "source_uri", "text")
-    return _by_block(
-        store,
-        questions,
-        block_terms,
-        lambda scores: chunk.join(F.broadcast(_best(scores, k)), _CHUNK),
-    )
+    return chunk.join(matches(store, questions, k), _CHUNK)
 
 
 def answer(
-    store: DataFrame, questions: DataFrame, stores=("kb",), block_terms: int = BLOCK_TERMS
+    store: DataFrame, questions: DataFrame, stores=("kb",)
 ) -> DataFrame:
     """Best chunk's text with its citation; the fallback where nothing shares a term."""
-    cited = cited_matches(store, questions, 1, block_terms)
+    cited = cited_matches(store, questions, 1)
     asked = questions.withColumn("store_id", F.explode(F.array(*[F.lit(s) for s in stores])))
     return asked.join(cited, _ASKED, "left").select(
         *_ASKED,
@@ -192,10 +219,10 @@ def answer(
 
 
 def hit_at_k(
-    store: DataFrame, questions: DataFrame, expected: DataFrame, k: int, block_terms: int = BLOCK_TERMS
+    store: DataFrame, questions: DataFrame, expected: DataFrame, k: int
 ) -> DataFrame:
     """Per question with an expected doc (question_id, expect_doc): is it among its k best?"""
-    found = cited_matches(store, questions, k, block_terms).select(
+    found = cited_matches(store, questions, k).select(
         "question_id", F.col("doc_id").alias("expect_doc")
     )
     marked = found.distinct().withColumn("hit", F.lit(True))
