@@ -91,11 +91,32 @@ def _count(table: pa.Table, order: int, bits: int) -> pa.Table:
         part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         begins = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)]):
-            rows.append((block, k, int(part[a]), keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()))
+            rows.append((block, k, int(part[a]), _packed_keys(keys[a:b]), _packed_counts(counts[a:b])))
     columns = list(zip(*rows))
     return pa.table(columns, schema=_SENT)
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as the bytes of their differences, the highest bytes of all first: most of
+    these are zero and compress away."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, ::-1].T.tobytes()
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)[::-1].T
+    return np.cumsum(np.ascontiguousarray(planes).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest unsigned integers that hold them; their size in bytes comes first."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _unpacked_counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 _SENT = pa.schema([("block", pa.int32()), ("gram", pa.int32()), ("part", pa.int32()),
                    ("keys", pa.binary()), ("counts", pa.binary())])
 _ANSWER = pa.schema([("block", pa.int32()), ("gram", pa.int32()), ("part", pa.int32()), ("totals", pa.binary()),
@@ -105,13 +126,13 @@ _ANSWER_DDL = "block int, gram int, part int, totals binary, tokens long, distin
 
 def _add(table: pa.Table) -> pa.Table:
     """Answers to all blocks about a part; the first row also has the part's sums."""
-    keys = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+    keys = [_unpacked_keys(k) for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([_unpacked_counts(c) for c in table.column("counts").to_pylist()])
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.zeros(len(distinct), np.int64)
-    np.add.at(totals, inverse, counts.astype(np.int64))
+    np.add.at(totals, inverse, counts)
     cuts = np.cumsum([0, *map(len, keys)])
-    answers = [totals[inverse[a:b]].astype("<u8").tobytes() for a, b in zip(cuts, cuts[1:])]
+    answers = [_packed_counts(totals[inverse[a:b]]) for a, b in zip(cuts, cuts[1:])]
     own, none = (int(totals.sum()), int((totals > 0).sum())), [0] * (len(keys) - 1)
     columns = [table.column(c) for c in ("block", "gram", "part")]
     return pa.table([*columns, answers, [own[0], *none], [own[1], *none]], schema=_ANSWER)
@@ -125,7 +146,7 @@ def _traverse(docs: pa.Table, answers: pa.Table, order: int, strength: float, to
     base = probability = seen = before = None
     for k in range(order):
         _, _, which = grams.distinct(k)
-        totals = np.frombuffer(b"".join(t for _, t in sorted(replies[k])), "<u8").astype(np.float64)
+        totals = np.concatenate([np.zeros(0), *(_unpacked_counts(t) for _, t in sorted(replies[k]))])
         arc = np.where(which >= 0, totals[which] if len(totals) else 0.0, 0.0)
         if k == 0:
             seen = arc
