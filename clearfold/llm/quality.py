@@ -51,6 +51,11 @@ def _words() -> Column:
     return F.array_remove(F.split(_text(), SPACES), "")
 
 
+def _spaced(words: Column) -> Column:
+    """One string with a space on both sides of every word."""
+    return F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+
+
 def _numbers(values: list[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
@@ -82,11 +87,11 @@ def measures(docs: DataFrame, common: dict[str, dict[str, float]]) -> DataFrame:
         classed.alias("classed"),
         lines.alias("lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
-        F.filter("words", lambda w: F.array_contains(F.array(*map(F.lit, every)), w)).alias("known"),
+        _spaced(F.filter("words", lambda w: w.isin(every)) if every else F.array()).alias("known"),
     )
     windows = F.transform(
-        F.sequence(F.lit(0), F.col("n") - WINDOW),
-        lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(WINDOW)]),
+        F.slice("hashes", F.lit(1), F.col("n") - WINDOW + 1),
+        lambda h, i: F.xxhash64(h, *[F.get("hashes", i + k) for k in range(1, WINDOW)]),
     )
     rows = rows.withColumn("windows", F.when(F.col("n") >= WINDOW, windows))
     pairs = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
@@ -107,7 +112,9 @@ def measures(docs: DataFrame, common: dict[str, dict[str, float]]) -> DataFrame:
         return F.col("n_chars") - F.length(F.replace("classed", F.lit(kind), F.lit("")))
 
     def occurs(word: str) -> Column:
-        return F.size(F.filter("known", lambda w: w == F.lit(word))).cast("double")
+        whole = f" {word} "
+        without = F.replace("known", F.lit(whole), F.lit(""))
+        return (F.octet_length("known") - F.octet_length(without)) / len(whole.encode())
 
     word_counts = [F.array(*map(occurs, words)) for words in common.values()]
     none = F.array().cast("array<array<double>>")
