@@ -29,6 +29,8 @@ from clearfold.sources.tables import materialised
 
 # Share of a question's norm that its frequent terms may have in a search for the k best.
 FREQUENT_SHARE = 0.5
+# Frequent terms are set apart from the rest where they have one in so many of the postings.
+WORTH = 2
 # Rounding of the bounds' arithmetic, always to the side of finishing a pair.
 SLACK = 1e-9
 
@@ -75,8 +77,9 @@ def embed_questions(questions: DataFrame) -> DataFrame:
 class _Asked:
     """Postings of the asked terms, and the questions' terms split into rare and frequent ones.
 
-    `share`: the frequent terms' norm stays below this share of the question's. Terms that no chunk
-    holds are in the norm only.
+    `share`: the frequent terms' norm stays below this share of the question's. A question whose
+    frequent terms would spare too few postings has rare terms only. Terms that no chunk holds are
+    in the norm only.
     """
 
     def __init__(self, store: DataFrame, questions: DataFrame, share: float):
@@ -88,18 +91,26 @@ class _Asked:
         held = held.select(*_CHUNK, "norm", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
         self.postings = materialised(held.join(terms.select("term").distinct(), "term", "left_semi"))
         holders = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
-        often_first = W.partitionBy("question_id").orderBy(F.desc("holders"), "term")
-        squares = F.sum(F.col("q_tf") * F.col("q_tf")).over(often_first)
-        frequent = F.col("squares") < F.pow(F.col("q_norm") * share, F.lit(2)) * (1 - SLACK)
-        split = terms.join(holders, "term").withColumn("squares", squares).withColumn("frequent", frequent)
-        rest = F.max(F.when(F.col("frequent"), F.col("squares"))).over(W.partitionBy("question_id"))
+        own = W.partitionBy("question_id")
+        squares = F.sum(F.col("q_tf") * F.col("q_tf")).over(own.orderBy(F.desc("holders"), "term"))
+        light = F.col("squares") < F.pow(F.col("q_norm") * share, F.lit(2)) * (1 - SLACK)
+        split = terms.join(holders, "term").withColumn("squares", squares).withColumn("light", light)
+        spared = F.sum(F.when(F.col("light"), F.col("holders")).otherwise(0)).over(own)
+        worth = spared * WORTH >= F.sum("holders").over(own)
+        split = split.withColumn("frequent", F.col("light") & worth)
+        rest = F.max(F.when(F.col("frequent"), F.col("squares"))).over(own)
         bound = F.sqrt(F.coalesce(rest, F.lit(0)).cast("double")) / F.col("q_norm")
-        self.terms = materialised(split.withColumn("bound", bound).drop("squares", "holders"))
+        self.terms = materialised(split.withColumn("bound", bound).drop("squares", "holders", "light"))
 
     def dots(self, terms: DataFrame) -> DataFrame:
-        """Dot products of the (question, chunk) pairs that share one of the terms."""
+        """Dot products of the (question, chunk) pairs that share one of the terms.
+
+        A chunk's postings are brought together first. Where the written terms are small enough to
+        be broadcast, pairs are then summed in their task and do not move.
+        """
         return (
-            self.postings.join(terms, "term")
+            self.postings.repartition("chunk_order")
+            .join(terms, "term")
             .groupBy(*_CHUNK, "question_id")
             .agg(
                 F.sum(F.col("q_tf") * F.col("tf")).alias("dot"),
@@ -136,17 +147,25 @@ def similar(store: DataFrame, questions: DataFrame, min_score: float) -> DataFra
     """All (question, chunk) pairs sharing a term and with a cosine of at least min_score."""
     asked = _Asked(store, questions, min_score)
     reach = F.col("part") + F.col("bound") + SLACK >= min_score
-    scores = asked.finished(materialised(asked.rare().where(reach)))
+    near = asked.rare().where(reach)
+    if asked.terms.where("frequent").isEmpty():
+        scores = _scored(near, F.col("dot"))
+    else:
+        scores = asked.finished(materialised(near))
     return scores.where(F.col("score") >= min_score)
 
 
 def _settled(rare: DataFrame, k: int) -> DataFrame:
-    """(store_id, question_id, least): the k-th best rare part where it exceeds what a chunk without
-    rare terms could reach."""
+    """(store_id, question_id, least): the k-th best rare part, or 0 without a k-th, where nothing
+    but rare terms was asked or it exceeds what a chunk without rare terms could reach."""
     order = W.partitionBy(*_ASKED).orderBy(F.desc("part"))
     places = rare.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    kth = places.where(F.col("place") == k).where(F.col("part") > F.col("bound") + SLACK)
-    return kth.select(*_ASKED, F.col("part").alias("least"))
+    best = places.groupBy(*_ASKED).agg(
+        F.max("bound").alias("bound"),
+        F.coalesce(F.max(F.when(F.col("place") == k, F.col("part"))), F.lit(0.0)).alias("least"),
+    )
+    reached = (F.col("bound") == 0) | (F.col("least") > F.col("bound") + SLACK)
+    return best.where(reached).select(*_ASKED, "least")
 
 
 def unsettled(store: DataFrame, questions: DataFrame, k: int, stores=("kb",)) -> DataFrame:
@@ -161,6 +180,8 @@ def unsettled(store: DataFrame, questions: DataFrame, k: int, stores=("kb",)) ->
 def matches(store: DataFrame, questions: DataFrame, k: int) -> DataFrame:
     """The k best chunks per store and question among those that share a term with it; written."""
     asked = _Asked(store, questions, FREQUENT_SHARE)
+    if asked.terms.where("frequent").isEmpty():
+        return materialised(_best(_scored(asked.rare(), F.col("dot")), k))
     rare = materialised(asked.rare())
     least = materialised(_settled(rare, k))
     reach = F.col("part") + F.col("bound") + SLACK >= F.col("least")
