@@ -18,7 +18,8 @@ HEADLINE = [
     "record_funnel", "classify_rows", "cleaned_rows", "quarantine_rows", "kb_documents", "nfc_text",
     "collapse_whitespace", "parse_dates", "tokenize_counts", "freshness_status",
     "volume_vs_baseline", "monitor_report", "expectation_suite", "term_frequency", "doc_norms",
-    "retrieve_topk", "answer_top1", "before_after_eval", "hit_at_k", "quality_report",
+    "cosine_scores", "retrieve_topk", "answer_top1", "before_after_eval", "hit_at_k",
+    "citation_age_p95", "quality_report",
 ]
 
 
