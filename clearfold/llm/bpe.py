@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearfold.llm.common import id_and_bytes
+from clearfold.llm.common import id_and_bytes, ship
 
 # Classes of code points. The letters are those that contractions are made of.
 SPACE, OTHER_WHITE, DIGIT, SIGN, APOSTROPHE, LETTER, LETTER_STMD, LETTER_RV, LETTER_E, LETTER_L = range(10)
@@ -292,6 +292,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, bytes: what the ids stand for; null ids stand for nothing."""
+    ship(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(
         partial(_decoded, path=path), "doc_id long, ids binary, bytes binary"
     )
