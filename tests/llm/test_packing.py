@@ -63,6 +63,29 @@ def test_neighbours_share_terms():
     assert packing.cuts(20 + 13, 20) == [0, 20, 28, 32, 33]
 
 
+def test_frequent_terms_count_as_bm25_says():
+    """Documents 0 and 1 share only a term that over a quarter of all have."""
+    terms = [{1, 2}, {1, 3}, {4}, {1, 5, 6}, {7, 8}, {7, 9}, {10}, {11}, {12}, {8, 9}]
+    documents = [(np.array(sorted(t), np.uint64), np.array([1 + (x == 1) * (i == 3) for x in sorted(t)])) for i, t in enumerate(terms)]
+    index = packing.Index(documents)
+    df = {x: sum(x in t for t in terms) for t in terms for x in t}
+    lengths = [int(c.sum()) for _, c in documents]
+
+    def bm25(seed, other):
+        norm = packing.K1 * (1 - packing.B + packing.B * lengths[other] * len(terms) / sum(lengths))
+        own = dict(zip(*map(list, documents[other])))
+        return sum(
+            np.log1p((len(terms) - df[x] + 0.5) / (df[x] + 0.5)) * own[x] * (packing.K1 + 1) / (own[x] + norm)
+            for x in terms[seed] & terms[other]
+        )
+
+    assert df[1] * packing.COMMON_SHARE > len(terms)
+    for seed in range(len(terms)):
+        scores = {d: bm25(seed, d) for d in range(len(terms)) if d != seed and terms[d] & terms[seed]}
+        assert index.neighbours(seed) == sorted(scores, key=lambda d: (-round(scores[d], 9), d))
+    assert index.neighbours(0) == [3, 1] or index.neighbours(0) == [1, 3]
+
+
 def test_ids_are_the_tokenizers():
     tokenizer = packing.tokenizer_of(PATH)
     texts = ["a  b\n c", " lead", "tail ", "it's  <|endoftext|> x", "\x1c \x85 y", "", "word word", "Größe 字 ½"]
