@@ -37,7 +37,8 @@ PREFIXES = (4, 5, 6, 7, 8, 10)
 @dataclass(frozen=True)
 class Settings:
     """Bounds of what is learned: labelled rows of each class (about so many, chosen by hash), and
-    entries of the lexicon. Entries need `min_documents` toxic documents and `min_precision`."""
+    entries of the lexicon. Entries need `min_documents` toxic documents of the sample, and
+    `min_precision` among all labelled rows, for which those of the sample stand."""
 
     sample_per_class: int = 6000
     lexicon_size: int = 5000
@@ -216,17 +217,19 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     sums = [F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")]
     counted = sample.mapInArrow(_count_features, "feature string, toxic long, clean long")
     counted = counted.groupBy("feature").agg(*sums)
-    precise = F.col("toxic") / (F.col("toxic") + F.col("clean") + 0.5) >= settings.min_precision
+    n_toxic, n_clean = F.col("toxic") * stands_for[1], F.col("clean") * stands_for[0]
+    precise = n_toxic / (n_toxic + n_clean + 0.5) >= settings.min_precision
     entries = counted.where((F.col("toxic") >= settings.min_documents) & precise)
     best = entries.orderBy(F.desc("toxic"), F.length("feature"), "feature").limit(settings.lexicon_size).collect()
     model = Model(exceptions=[fold(p) for p in settings.exceptions])
     for r in best:
         entry = r["feature"]
         if not any(entry[:k] in model.lexicon for k in range(2, len(entry))):
-            model.lexicon[entry] = math.log((r["toxic"] + 0.5) / (r["clean"] + 0.5))
+            odds = (r["toxic"] * stands_for[1] + 0.5) / (r["clean"] * stands_for[0] + 0.5)
+            model.lexicon[entry] = math.log(odds)
     phrases = sample.mapInArrow(partial(_contexts, model=model), "feature string, toxic long, clean long")
     phrases = phrases.groupBy("feature").agg(*sums)
-    innocent = (F.col("clean") >= settings.min_documents) & (F.col("clean") >= 9 * F.col("toxic"))
+    innocent = (F.col("clean") >= settings.min_documents) & (n_clean >= 9 * n_toxic)
     found = phrases.where(innocent).orderBy(F.desc("clean"), "feature").limit(settings.lexicon_size)
     model.exceptions += [r["feature"] for r in found.collect()]
     points = sample.mapInArrow(partial(_measures, model=model), "toxic int, total double, n_words long")

@@ -45,6 +45,24 @@ def test_learns_words_and_exceptions(labelled):
     assert sum(r["predicted"] == r["toxic"] for r in found) >= 0.97 * len(found)
 
 
+def test_a_sample_chooses_as_all_rows_do(spark, docs_of):
+    """'foul' has a precision of 2/3 and 'foul line' is innocent; 'mild' has a precision of 1/3."""
+    texts = [f"foul {'line' if i % 40 == 0 else 'deed'} {'mild' if i % 2 else 'air'} number{i}" for i in range(400)]
+    texts += [f"{'foul line' if i % 20 == 0 else 'fair play'} {'mild' if i % 10 == 3 else 'air'} number{i}" for i in range(400, 4400)]
+    labels = spark.createDataFrame([(i, int(i < 400)) for i in range(4400)], "doc_id long, toxic int")
+    docs = docs_of(texts)
+    whole, sampled = (
+        toxicity.learn(docs, labels, toxicity.Settings(sample_per_class=n, min_precision=0.5, exceptions=()))
+        for n in (6000, 200)
+    )
+    assert not any(" mild ".startswith(entry) for entry in whole.lexicon)
+    assert any(" foul ".startswith(entry) for entry in whole.lexicon)
+    assert {e for e in sampled.lexicon if "numbe" not in e} == {e for e in whole.lexicon if "numbe" not in e}
+    assert " foul line " in whole.exceptions and " foul line " in sampled.exceptions
+    for entry, weight in sampled.lexicon.items():
+        assert abs(weight - whole.lexicon[entry]) < 1
+
+
 def test_held_out_labels_are_not_read(labelled):
     docs, labels = labelled
     wrong = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
