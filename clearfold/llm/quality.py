@@ -1,8 +1,11 @@
 """Quality rules by distribution divergence, in DataFrame functions alone.
 
 A text's shares of character classes, and of the commonest words, are compared with those of each
-language's texts taken together, by Jensen-Shannon distance; the nearest language counts. Texts too
-short for a histogram to mean anything are judged by the base rules only.
+language's texts taken together, by Jensen-Shannon distance; the nearest language counts. The largest
+languages' references are compared with every document, those of all others, a table of any length,
+with the documents of their own language. Distances hardly grow where common words are missing, so
+their total share has a lower limit too, which each reference's own spread sets. Texts too short for
+a histogram to mean anything are judged by the base rules only.
 """
 
 from __future__ import annotations
@@ -24,7 +27,10 @@ MAX_REPEAT_PERCENT = 20
 
 @dataclass(frozen=True)
 class Limits:
-    """`languages`: how many, the largest, have references; `common`: words of each reference."""
+    """`languages`: how many, the largest, are references for all documents; `common`: words of each
+    reference; `min_reference_words`: of a smaller language, to be its documents' own reference, without
+    which they are not judged; `max_missing`: how many deviations of a reference's documents a text's
+    share of common words may lie below the reference's."""
 
     languages: int = 16
     common: int = 10
@@ -32,6 +38,12 @@ class Limits:
     max_word_distance: float = 0.31
     min_class_chars: int = 200
     min_histogram_words: int = 60
+    min_reference_words: int = 1000
+    max_missing: float = 4.0
+
+
+# Median of the square of a normal deviation: spreads are taken by medians, which junk does not move.
+MEDIAN_SQUARE = 0.4549
 
 
 # A class is written as one character that stands for all of its own.
@@ -60,28 +72,44 @@ def _numbers(values: list[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def common_words(docs: DataFrame, limits: Limits) -> dict[str, dict[str, float]]:
-    """Of each language, the commonest words and their shares of all its words."""
+def _references(docs: DataFrame, limits: Limits) -> tuple[dict[str, dict[str, float]], DataFrame | None]:
+    """Of the largest languages, the commonest words and their shares of all words; and a table
+    (lang, own_words, own_word_shares) of the others that have enough words, None without any others."""
     counts = docs.select(_language().alias("lang"), F.explode(_words()).alias("word")).groupBy("lang", "word").count()
     counts = written(counts)
     totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))
-    totals = totals.orderBy(F.desc("total"), "lang").limit(limits.languages)
+    largest = totals.orderBy(F.desc("total"), "lang").limit(limits.languages + 1).collect()
+    more = len(largest) > limits.languages
+    largest = {r["lang"]: r["total"] for r in largest[: limits.languages]}
     ranked = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
     best = counts.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= limits.common)
     out: dict[str, dict[str, float]] = {}
-    for r in best.join(F.broadcast(totals), "lang").orderBy("lang", "rank").collect():
-        out.setdefault(r["lang"], {})[r["word"]] = r["count"] / r["total"]
-    return out
-
-
-def measures(docs: DataFrame, common: dict[str, dict[str, float]]) -> DataFrame:
-    """One narrow row per document: base columns, class counts, counts of each reference's words."""
+    for r in best.where(F.col("lang").isin(list(largest))).orderBy("lang", "rank").collect():
+        out.setdefault(r["lang"], {})[r["word"]] = r["count"] / largest[r["lang"]]
+    out = {lang: out[lang] for lang in sorted(out)}
+    if not more:
+        return out, None
+    enough = totals.where(~F.col("lang").isin(list(largest)) & (F.col("total") >= limits.min_reference_words))
+    rows = best.join(enough, "lang").select("lang", F.struct("rank", "word", (F.col("count") / F.col("total")).alias("share")).alias("r"))
+    rows = rows.groupBy("lang").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    return out, written(rows.select("lang", F.col("r.word").alias("own_words"), F.col("r.share").alias("own_word_shares")))
+
+
+def measures(docs: DataFrame, common: dict[str, dict[str, float]], others: DataFrame | None = None) -> DataFrame:
+    """One narrow row per document: base columns, class counts, counts of each reference's words;
+    `own_counts`, of its own language's words where the language is one of `others`."""
     every = sorted({w for words in common.values() for w in words})
     rows = docs.select("doc_id", _language().alias("lang"), _text().alias("text")).withColumn("words", _words())
     classed = F.translate("text", "".join(CLASSES.values()), "".join(k * len(v) for k, v in CLASSES.items()))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD))
+    if others is None:
+        own_counts = F.lit(None).cast("array<double>")
+    else:
+        rows = rows.join(others.select("lang", "own_words"), "lang", "left")
+        held = F.filter("words", lambda w: F.array_contains("own_words", w))
+        own_counts = F.transform("own_words", lambda o: F.size(F.filter(held, lambda w: w == o)).cast("double"))
     rows = rows.select(
-        "doc_id", "lang", "words",
+        "doc_id", "lang", "words", own_counts.alias("own_counts"),
         F.length("text").alias("n_chars"),
         F.size("words").alias("n"),
         classed.alias("classed"),
@@ -119,7 +147,7 @@ def measures(docs: DataFrame, common: dict[str, dict[str, float]]) -> DataFrame:
     word_counts = [F.array(*map(occurs, words)) for words in common.values()]
     none = F.array().cast("array<array<double>>")
     rows = rows.select(
-        "doc_id", "lang", "n_chars",
+        "doc_id", "lang", "n_chars", "own_counts",
         F.col("n").cast("long").alias("n_words"),
         *[count(k).alias(f"class_{i}") for i, k in enumerate(CLASSES)],
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -130,7 +158,7 @@ def measures(docs: DataFrame, common: dict[str, dict[str, float]]) -> DataFrame:
     rest = F.col("n_chars") - sum((F.col(c) for c in named), F.lit(0))
     white, symbol = (f"class_{list(CLASSES).index(k)}" for k in " #")
     return rows.select(
-        "doc_id", "lang", "n_words", "n_dup_lines", "n_repeat_words", "word_counts",
+        "doc_id", "lang", "n_words", "n_dup_lines", "n_repeat_words", "word_counts", "own_counts",
         (F.col("n_chars") - F.col(white)).cast("long").alias("word_chars"),
         F.col(symbol).cast("long").alias("n_symbols"),
         F.array(*[F.col(c).cast("double") for c in named], rest.cast("double")).alias("class_counts"),
@@ -151,41 +179,80 @@ def _shares(counts: Column, total: Column) -> Column:
     return F.transform(counts, lambda c: c / total)
 
 
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
+
+
+def _deviation(own: Column, share: Column) -> Column:
+    """How far the share of common words lies from the reference's, in deviations of random draws."""
+    return (_total(own) / F.col("n_words") - share) / F.sqrt(share * (1 - share) / F.col("n_words"))
+
+
+def _word_distance(own: Column, shares: Column) -> Column:
+    mine = _shares(F.concat(own, F.array(F.col("n_words") - _total(own))), F.col("n_words"))
+    return distance(mine, F.concat(shares, F.array(1 - _total(shares))))
+
+
 def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and the
-    two distances, one row per row of `docs` (doc_id, text, lang).
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, the two
+    distances and `missing`, one row per row of `docs` (doc_id, text, lang).
 
-    Null texts count as empty; both fail the base rules. Distances are null below the lengths at
-    which they count, and where there is no reference. Null `lang` is a language of its own.
+    Null texts count as empty; both fail the base rules. `missing` says by how many deviations of its
+    documents the nearest reference's share of common words exceeds the text's. Distances and `missing`
+    are null below the lengths at which they count, and where there is no reference. Null `lang` is a
+    language of its own.
     """
-    common = common_words(docs, limits)
-    rows = written(measures(docs, common))
+    common, others = _references(docs, limits)
+    rows = written(measures(docs, common, others))
     n_classes = len(CLASSES) + 1
     sums = [F.sum(F.col("class_counts")[i]).alias(f"c{i}") for i in range(n_classes)]
-    totals = {r["lang"]: [r[f"c{i}"] for i in range(n_classes)]
-              for r in rows.where(F.col("lang").isin(list(common))).groupBy("lang").agg(*sums).collect()}
-    chars = F.aggregate("class_counts", F.lit(0.0), lambda a, b: a + b)
+    long = F.col("n_words") >= limits.min_histogram_words
+
+    def spread(deviation: Column) -> Column:
+        """Of a reference's documents, in deviations of random draws; at least theirs."""
+        median = F.percentile_approx(F.when(long, deviation * deviation), 0.5)
+        return F.sqrt(F.greatest(F.coalesce(median / MEDIAN_SQUARE, F.lit(1.0)), F.lit(1.0)))
+
+    chars = _total(F.col("class_counts"))
+    deviations = {lang: _deviation(F.col("word_counts")[k], F.lit(sum(words.values())))
+                  for k, (lang, words) in enumerate(common.items())}
+    own = F.coalesce(*[F.when(F.col("lang") == lang, d) for lang, d in deviations.items()], F.lit(None).cast("double"))
+    totals = {r["lang"]: r for r in rows.where(F.col("lang").isin(list(common))).groupBy("lang")
+              .agg(*sums, spread(own).alias("spread")).collect()}
     rows = rows.withColumn("class_shares", _shares(F.col("class_counts"), chars))
-    by_class, by_word = [], []
+    by_class, by_word, by_missing = [], [], []
     for k, (lang, words) in enumerate(common.items()):
-        by_class.append(distance(F.col("class_shares"), _numbers([c / sum(totals[lang]) for c in totals[lang]])))
-        own = F.col("word_counts")[k]
-        other = F.col("n_words") - F.aggregate(own, F.lit(0.0), lambda a, b: a + b)
-        mine = _shares(F.concat(own, F.array(other)), F.col("n_words"))
-        by_word.append(distance(mine, _numbers([*words.values(), 1 - sum(words.values())])))
+        counts = [totals[lang][f"c{i}"] for i in range(n_classes)]
+        by_class.append(distance(F.col("class_shares"), _numbers([c / sum(counts) for c in counts])))
+        by_word.append(_word_distance(F.col("word_counts")[k], _numbers(list(words.values()))))
+        by_missing.append(-deviations[lang] / totals[lang]["spread"])
+    judged = F.lit(True)
+    if others is not None:
+        shares = others.select("lang", "own_word_shares")
+        rows = rows.join(shares, "lang", "left")
+        share = _total(F.col("own_word_shares"))
+        known = rows.where(F.col("own_word_shares").isNotNull()).groupBy("lang")
+        known = known.agg(*sums, spread(_deviation(F.col("own_counts"), share)).alias("own_spread"))
+        every = F.array(*[F.col(f"c{i}") for i in range(n_classes)])
+        rows = rows.join(written(known.select("lang", "own_spread", _shares(every, _total(every)).alias("own_class_shares"))), "lang", "left")
+        by_class.append(distance(F.col("class_shares"), F.col("own_class_shares")))
+        by_word.append(_word_distance(F.col("own_counts"), F.col("own_word_shares")))
+        by_missing.append(-_deviation(F.col("own_counts"), share) / F.col("own_spread"))
+        judged = F.col("lang").isin(list(common)) | F.col("own_spread").isNotNull()
     nowhere = F.lit(None).cast("double")
-    class_distance = F.array_min(F.array(*by_class)) if by_class else nowhere
-    word_distance = F.array_min(F.array(*by_word)) if by_word else nowhere
+    nearest = [F.array_min(F.array(*some)) if some else nowhere for some in (by_class, by_word, by_missing)]
     rows = rows.withColumns({
-        "class_distance": F.when(chars >= limits.min_class_chars, class_distance),
-        "word_distance": F.when(F.col("n_words") >= limits.min_histogram_words, word_distance),
+        "class_distance": F.when(judged & (chars >= limits.min_class_chars), nearest[0]),
+        "word_distance": F.when(judged & long, nearest[1]),
+        "missing": F.when(judged & long, nearest[2]),
         "base_failed": (F.col("n_words") < MIN_WORDS)
         | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT),
     })
-    near = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= limits.max_class_distance) & (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) <= limits.max_word_distance
+    near = (
+        (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= limits.max_class_distance)
+        & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= limits.max_word_distance)
     )
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & near).alias("kept"), "class_distance", "word_distance",
+        (~F.col("base_failed") & near).alias("kept"), "class_distance", "word_distance", "missing",
     )

@@ -42,7 +42,7 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(table(spark, sf_dir, "documents"))
-    return judged.drop("class_distance", "word_distance")
+    return judged.drop("class_distance", "word_distance", "missing")
 
 
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,26 @@ def test_divergent_texts_are_rejected(docs_of):
     assert found[32]["kept"] and found[32]["class_distance"] is None
 
 
+def test_smaller_languages_have_references_of_their_own(spark):
+    rng = random.Random(8)
+
+    def texts(letters, seed, n):
+        words = ["".join(random.Random(f"{seed} {k}").choices(letters, k=5)) for k in range(500)]
+        return [" ".join(rng.choice(words[:8] if rng.random() < 0.17 else words) for _ in range(90)) for _ in range(n)]
+
+    latin, greek, cyrillic = "abcdefghijklmnop", "αβγδεζηθικλμνξοπ", "абвгдежзиклмнопр"
+    docs = [(t, f"l{k:02}") for k in range(16) for t in texts(latin, k, 14)]
+    docs += [(t, "el") for t in texts(greek, "el", 13)] + [(t, "ru") for t in texts(cyrillic, "ru", 12)]
+    docs += [(t, "uk") for t in texts(cyrillic, "uk", 3)] + [(" ".join(str(10**9 + 7 * i) for i in range(90)), "ru")]
+    frame = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, text string, lang string")
+    found = rows(frame)
+    assert len(found) == len(docs)
+    for i, (_, lang) in enumerate(docs[:-1]):
+        assert found[i]["kept"], lang
+        assert (found[i]["class_distance"] is None) == (lang == "uk")
+    assert not found[len(docs) - 1]["kept"] and not found[len(docs) - 1]["base_failed"]
+
+
 def test_odd_rows(odd):
     found = quality.quality(odd).collect()
     assert len(found) == 8
