@@ -251,6 +251,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     near = (
         (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= limits.max_class_distance)
         & (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= limits.max_word_distance)
+        & (F.coalesce(F.col("missing"), F.lit(0.0)) <= limits.max_missing)
     )
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

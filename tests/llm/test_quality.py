@@ -43,6 +43,19 @@ def test_divergent_texts_are_rejected(docs_of):
     assert found[32]["kept"] and found[32]["class_distance"] is None
 
 
+def test_texts_without_common_words_are_rejected(docs_of):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = ["".join(rng.choices(letters, k=6)) for _ in range(4000)]
+    common = ["the", "of", "and", "to", "in", "is", "it", "was", "on", "for"]
+    prose = [" ".join(rng.choice(common) if rng.random() < 0.165 else rng.choice(own) for _ in range(150)) for _ in range(80)]
+    gibberish = [" ".join("".join(rng.choices(letters, k=6)) for _ in range(200)) for _ in range(4)]
+    found = rows(docs_of([*prose, *gibberish]))
+    assert all(found[i]["kept"] for i in range(80))
+    for i in range(80, 84):
+        assert not found[i]["kept"] and not found[i]["base_failed"] and found[i]["word_distance"] <= 0.31
+
+
 def test_smaller_languages_have_references_of_their_own(spark):
     rng = random.Random(8)
 
