@@ -208,3 +208,68 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_know
     round(kahan_sum(log10(CASE WHEN h IS NULL THEN p1 ELSE (both_c + 500.0 * p1) / (state_c + 500.0) END)), 6) AS score
 FROM p GROUP BY doc_id, held_out, n
 """
+
+ORACLE["op12_collocations"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), p AS (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM d
+), one AS (
+    SELECT lang, unnest(words) AS phrase FROM p
+), grams AS (
+    SELECT lang, 1 AS k, phrase FROM one
+    UNION ALL
+    SELECT lang, 2, array_to_string(words[i : i + 1], ' ') FROM (SELECT *, unnest(range(1, len(words))) AS i FROM p)
+    UNION ALL
+    SELECT lang, 3, array_to_string(words[i : i + 2], ' ') FROM (SELECT *, unnest(range(1, len(words) - 1)) AS i FROM p)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10
+), n AS (
+    SELECT lang, count(*) AS n FROM one GROUP BY lang
+), cand AS (
+    SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1
+), cuts AS (
+    SELECT lang, phrase, k, a, unnest(range(1, k)) AS head, words FROM cand
+), rated AS (
+    SELECT c.lang, c.phrase, c.k, c.a, l.a AS l, r.a AS r, head,
+        ((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM cuts c
+    JOIN f l ON l.lang = c.lang AND l.k = head AND l.phrase = array_to_string(words[:head], ' ')
+    JOIN f r ON r.lang = c.lang AND r.k = c.k - head AND r.phrase = array_to_string(words[head + 1 :], ' ')
+), lowest AS (
+    SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, k, phrase ORDER BY score, head) = 1
+), inside AS (
+    SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM cand WHERE k = 3
+        UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM cand WHERE k = 3)
+    GROUP BY lang, phrase
+)
+SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank,
+    c.phrase, a, l, r, n, score
+FROM lowest c JOIN n ON n.lang = c.lang LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase AND c.k = 2
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+ORACLE["op13_hard_negatives"] = r"""
+WITH v AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS anchor_id, o.vec_id AS other_id, q.label = o.label AS same, list_inner_product(q.v, o.v)::BIGINT AS score
+    FROM v q JOIN v o ON q.vec_id % 50 = 0 AND q.vec_id <> o.vec_id
+), pos AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), neg AS (
+    SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+    FROM pos JOIN pairs USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""

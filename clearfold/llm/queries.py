@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clearfold.llm import bpe, chat, lm, near, packing, pieces, quality, substrings, toxicity
+from clearfold.llm import (
+    bpe, chat, collocations, lm, near, negatives, packing, pieces, quality, simhash, substrings, toxicity,
+)
 from clearfold.llm.common import TOKENIZERS, table
 from clearfold.llm.exact import ExactDuplicates
 
@@ -55,6 +57,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op11_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -66,4 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_divergence": op8_quality_divergence,
     "op9_preference_format": op9_preference_format,
     "op10_token_counts": op10_token_counts,
+    "op11_simhash_duplicates": op11_simhash_duplicates,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
