@@ -240,7 +240,7 @@ def scored(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     cuts = cuts.withColumn("m", F.col("size") - F.col("k")).join(left, ["k", "left"]).join(right, ["m", "right"])
     cuts = cuts.withColumns({"a_": _exact("a"), "l_": _exact("l"), "r_": _exact("r")})
     score = F.expr("(a_ * a_ * 1000000BD) div (l_ * r_)")
-    lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
+    lowest = F.min(F.struct(score.alias("score"), "k", "l", "r", "a")).alias("cut")
     rated = cuts.groupBy("size", "key").agg(lowest)
 
     # Every contiguous part of a longer phrase is a left part of a right part, lengths permitting.
@@ -250,8 +250,8 @@ def scored(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     kept = phrases.join(stands, ["size", "key"], "left").where(~F.coalesce(subsumed, F.lit(False)))
     n = counts.where("size = 0").select(F.col("key").alias("language"), "n")
     out = kept.join(rated, ["size", "key"]).join(n, "language")
-    return out.select("lang", F.col("phrase").cast("string").alias("phrase"), F.col("size").alias("words"),
-                      "a", "cut.l", "cut.r", "n", "cut.score")
+    phrase, words = F.col("phrase").cast("string").alias("phrase"), F.col("size").alias("words")
+    return out.select("lang", phrase, words, "cut.a", "cut.l", "cut.r", "n", "cut.score")
 
 
 def _contained(phrases: DataFrame, longest: int) -> DataFrame:
