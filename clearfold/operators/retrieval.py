@@ -1,38 +1,34 @@
-"""Term-vector knowledge store and exact cosine top-k search that leaves most pairs unformed.
-
-A question's vector is split in two: its rare terms, by the number of chunks that hold them, and the
-frequent rest, whose share of the norm stays below a bound. Only rare terms form question-chunk
-pairs. By Cauchy-Schwarz the rest can add no more to a cosine than its share of the question's norm,
-so
-
-* for a least score, the bound is that score: a chunk without a rare term cannot reach it, and a
-  pair is finished with the frequent terms only where rare part and bound together can;
-* for the k best, the k-th best rare part is what a pair must be able to reach; where it does not
-  exceed the bound, the question is scored with all its terms, as a question of frequent words alone
-  always is (`unsettled` counts them).
-
-No term and no pair that matters is left out; scores are those of the whole vectors. The store is
-scanned once, for the asked terms' postings, which are written; all joins are shuffled unless what
-Spark finds written is small enough to be broadcast.
+"""Term-vector knowledge store and exact cosine top-k search.
+
+Questions are a stated set, the store grows. A search reads the store's vectors where they lie and
+moves none of them: each task scores its chunks against a slice of the questions, block by block (see
+`scoring`), and hands on no more than the k best per question, which one shuffle ranks. Questions go
+to the tasks in slices of SLICE, so what is broadcast has a bound; more questions are more passes.
+
+`postings` is the store's inverted index, to be kept as a table: sorted by term, with the chunks of
+each run of 1,024 positions in one row, their places as differences, and the greatest weight among
+them. A search over it reads only the rows of the asked terms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clearfold.functions import vectors
+from clearfold.functions.shipping import ship
+from clearfold.operators import scoring
 from clearfold.schema import ORDER_COLUMN
 from clearfold.settings import NO_ANSWER_DOC, NO_ANSWER_TEXT
-from clearfold.sources.tables import materialised
 
-# Share of a question's norm that its frequent terms may have in a search for the k best.
-FREQUENT_SHARE = 0.5
-# Frequent terms are set apart from the rest where they have one in so many of the postings.
-WORTH = 2
-# Rounding of the bounds' arithmetic, always to the side of finishing a pair.
-SLACK = 1e-9
+# Questions that are broadcast at once, and asked terms of which a scan is told one by one.
+SLICE = 1024
+LISTED_TERMS = 20_000
+# Positions of an index row; the least power of two that a row's chunks cannot exceed.
+RUN_BITS = 10
 
 _CHUNK = ["store_id", "chunk_order"]
 _ASKED = ["store_id", "question_id"]
@@ -74,67 +70,63 @@ def embed_questions(questions: DataFrame) -> DataFrame:
     )
 
 
-class _Asked:
-    """Postings of the asked terms, and the questions' terms split into rare and frequent ones.
+def postings(store: DataFrame) -> DataFrame:
+    """The inverted index: store_id, term, run, most, places, tfs, norms, sorted by term.
 
-    `share`: the frequent terms' norm stays below this share of the question's. A question whose
-    frequent terms would spare too few postings has rare terms only. Terms that no chunk holds are
-    in the norm only.
+    A row has a term's chunks within a run of positions, so at most 1,024 of them; `places` are the
+    differences of their positions and `most` is the greatest weight (tf / norm).
     """
+    run = F.shiftright("chunk_order", RUN_BITS).alias("run")
+    place = F.col("chunk_order").bitwiseAND((1 << RUN_BITS) - 1).cast("int").alias("place")
+    held = store.select(*_CHUNK, "norm", F.inline(F.arrays_zip("terms", "counts")).alias("term", "tf"))
+    member = F.struct(place, "tf", "norm")
+    rows = held.groupBy("store_id", "term", run).agg(
+        F.max(F.col("tf") / F.col("norm")).alias("most"), F.sort_array(F.collect_list(member)).alias("m")
+    )
+    gaps = F.transform("m", lambda x, i: x["place"] - F.coalesce(F.get(F.col("m"), i - 1)["place"], F.lit(0)))
+    named = rows.select("store_id", "term", "run", "most", gaps.alias("places"), F.col("m.tf").alias("tfs"), F.col("m.norm").alias("norms"))
+    return named.repartitionByRange("term", "store_id", "run").sortWithinPartitions("term", "store_id", "run")
+
 
-    def __init__(self, store: DataFrame, questions: DataFrame, share: float):
-        embedded = embed_questions(questions)
-        terms = embedded.select(
-            "question_id", "q_norm", F.inline(F.arrays_zip("q_terms", "q_counts")).alias("term", "q_tf")
-        )
-        held = store.select(*_CHUNK, "norm", F.explode_outer(F.arrays_zip("terms", "counts")).alias("t"))
-        held = held.select(*_CHUNK, "norm", F.col("t.terms").alias("term"), F.col("t.counts").alias("tf"))
-        self.postings = materialised(held.join(terms.select("term").distinct(), "term", "left_semi"))
-        holders = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("holders"))
-        own = W.partitionBy("question_id")
-        squares = F.sum(F.col("q_tf") * F.col("q_tf")).over(own.orderBy(F.desc("holders"), "term"))
-        light = F.col("squares") < F.pow(F.col("q_norm") * share, F.lit(2)) * (1 - SLACK)
-        split = terms.join(holders, "term").withColumn("squares", squares).withColumn("light", light)
-        spared = F.sum(F.when(F.col("light"), F.col("holders")).otherwise(0)).over(own)
-        worth = spared * WORTH >= F.sum("holders").over(own)
-        split = split.withColumn("frequent", F.col("light") & worth)
-        rest = F.max(F.when(F.col("frequent"), F.col("squares"))).over(own)
-        bound = F.sqrt(F.coalesce(rest, F.lit(0)).cast("double")) / F.col("q_norm")
-        self.terms = materialised(split.withColumn("bound", bound).drop("squares", "holders", "light"))
-
-    def dots(self, terms: DataFrame) -> DataFrame:
-        """Dot products of the (question, chunk) pairs that share one of the terms.
-
-        A chunk's postings are brought together first. Where the written terms are small enough to
-        be broadcast, pairs are then summed in their task and do not move.
-        """
-        return (
-            self.postings.repartition("chunk_order")
-            .join(terms, "term")
-            .groupBy(*_CHUNK, "question_id")
-            .agg(
-                F.sum(F.col("q_tf") * F.col("tf")).alias("dot"),
-                *(F.max(c).alias(c) for c in ("norm", "q_norm", "bound")),
-            )
-        )
-
-    def rare(self) -> DataFrame:
-        pairs = self.dots(self.terms.where("NOT frequent"))
-        return pairs.withColumn("part", vectors.cosine(F.col("dot"), F.col("q_norm"), F.col("norm")))
-
-    def finished(self, pairs: DataFrame) -> DataFrame:
-        """Pairs with the frequent terms' part added: whole scores."""
-        wanted = pairs.select(*_CHUNK, "question_id").join(self.terms.where("frequent"), "question_id")
-        more = wanted.join(self.postings.drop("norm"), [*_CHUNK, "term"])
-        more = more.groupBy(*_CHUNK, "question_id").agg(F.sum(F.col("q_tf") * F.col("tf")).alias("more"))
-        both = pairs.join(more, [*_CHUNK, "question_id"], "left")
-        dot = F.col("dot") + F.coalesce("more", F.lit(0))
-        return _scored(both, dot)
-
-
-def _scored(pairs: DataFrame, dot: Column) -> DataFrame:
-    score = vectors.cosine(dot, F.col("q_norm"), F.col("norm"))
-    return pairs.select(*_ASKED, "chunk_order", score.alias("score"))
+def vectors_of(index: DataFrame, terms: list[str]) -> DataFrame:
+    """Chunk vectors reduced to some terms, from the index alone."""
+    if len(terms) <= LISTED_TERMS:
+        rows = index.where(F.col("term").isin(terms))
+    else:
+        listed = index.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+        rows = index.where(F.col("term").between(min(terms), max(terms))).join(listed, "term", "left_semi")
+    sums = F.transform("places", lambda _, i: F.aggregate(F.slice("places", 1, i + 1), F.lit(0), lambda a, x: a + x))
+    zipped = F.arrays_zip(sums.alias("place"), F.col("tfs"), F.col("norms"))
+    held = rows.select("store_id", "term", "run", F.inline(zipped).alias("place", "tf", "norm"))
+    order = (F.shiftleft("run", RUN_BITS) + F.col("place")).alias("chunk_order")
+    member = F.struct("term", "tf")
+    by_chunk = held.groupBy("store_id", order).agg(F.max("norm").alias("norm"), F.collect_list(member).alias("m"))
+    return by_chunk.select(*_CHUNK, "norm", F.col("m.term").alias("terms"), F.col("m.tf").alias("counts"))
+
+
+def _slices(questions: DataFrame) -> Iterator[scoring.Questions]:
+    """The questions' vectors, dealt into slices that are collected one at a time."""
+    embedded = embed_questions(questions)
+    n = -(-questions.count() // SLICE)
+    slice_of = F.pmod(F.xxhash64("question_id"), F.lit(max(n, 1)))
+    for i in range(n):
+        rows = (embedded if n == 1 else embedded.where(slice_of == i)).collect()
+        if rows:
+            yield scoring.Questions(rows)
+
+
+def _scan(store: DataFrame, questions: DataFrame, scorer: Callable) -> DataFrame:
+    """What `scorer` finds for each slice of questions in the store, or in its index."""
+    spark = store.sparkSession
+    ship(spark)
+    kind = f"store_id string, question_id {questions.schema['question_id'].dataType.simpleString()}, chunk_order bigint, score double"
+    indexed = "tfs" in store.columns
+    found = None
+    for asked in _slices(questions):
+        chunks = vectors_of(store, asked.terms) if indexed else store
+        part = chunks.select(*_CHUNK, "norm", "terms", "counts").mapInArrow(scorer(asked), kind)
+        found = part if found is None else found.unionByName(part)
+    return spark.createDataFrame([], kind) if found is None else found
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -145,52 +137,12 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
 
 def similar(store: DataFrame, questions: DataFrame, min_score: float) -> DataFrame:
     """All (question, chunk) pairs sharing a term and with a cosine of at least min_score."""
-    asked = _Asked(store, questions, min_score)
-    reach = F.col("part") + F.col("bound") + SLACK >= min_score
-    near = asked.rare().where(reach)
-    if asked.terms.where("frequent").isEmpty():
-        scores = _scored(near, F.col("dot"))
-    else:
-        scores = asked.finished(materialised(near))
-    return scores.where(F.col("score") >= min_score)
-
-
-def _settled(rare: DataFrame, k: int) -> DataFrame:
-    """(store_id, question_id, least): the k-th best rare part, or 0 without a k-th, where nothing
-    but rare terms was asked or it exceeds what a chunk without rare terms could reach."""
-    order = W.partitionBy(*_ASKED).orderBy(F.desc("part"))
-    places = rare.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    best = places.groupBy(*_ASKED).agg(
-        F.max("bound").alias("bound"),
-        F.coalesce(F.max(F.when(F.col("place") == k, F.col("part"))), F.lit(0.0)).alias("least"),
-    )
-    reached = (F.col("bound") == 0) | (F.col("least") > F.col("bound") + SLACK)
-    return best.where(reached).select(*_ASKED, "least")
-
-
-def unsettled(store: DataFrame, questions: DataFrame, k: int, stores=("kb",)) -> DataFrame:
-    """(store_id, n_questions): questions that the rare terms alone do not settle."""
-    asked = _Asked(store, questions, FREQUENT_SHARE)
-    named = F.explode(F.array(*[F.lit(s) for s in stores])).alias("store_id")
-    every = asked.terms.select("question_id").distinct().select("question_id", named)
-    open_ones = every.join(_settled(asked.rare(), k), _ASKED, "left_anti")
-    return open_ones.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_questions"))
+    return _scan(store, questions, lambda asked: scoring.reaching(asked, min_score))
 
 
 def matches(store: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    """The k best chunks per store and question among those that share a term with it; written."""
-    asked = _Asked(store, questions, FREQUENT_SHARE)
-    if asked.terms.where("frequent").isEmpty():
-        return materialised(_best(_scored(asked.rare(), F.col("dot")), k))
-    rare = materialised(asked.rare())
-    least = materialised(_settled(rare, k))
-    reach = F.col("part") + F.col("bound") + SLACK >= F.col("least")
-    pruned = asked.finished(rare.join(least, _ASKED).where(reach).drop("least"))
-    n_stores = asked.postings.select("store_id").distinct().count()
-    done = least.groupBy("question_id").count().where(F.col("count") == n_stores).select("question_id")
-    whole = asked.dots(asked.terms.join(done, "question_id", "left_anti"))
-    whole = _scored(whole.join(least, _ASKED, "left_anti"), F.col("dot"))
-    return materialised(_best(pruned.unionByName(whole), k))
+    """The k best chunks per store and question among those that share a term with it."""
+    return _best(_scan(store, questions, lambda asked: scoring.best(asked, k)), k)
 
 
 def search(
@@ -217,8 +169,8 @@ def search(
 
 
 def cited_matches(store: DataFrame, questions: DataFrame, k: int) -> DataFrame:
-    """Matches with their chunk's text and metadata. The written matches are k per store and
-    question; Spark broadcasts them if they turned out small, and shuffles otherwise."""
+    """Matches with their chunk's text and metadata. The matches are k per store and question, which
+    Spark broadcasts if they turn out small."""
     chunk = store.select(*_CHUNK, "doc_id", "version", "effective_date", "source_uri", "text")
     return chunk.join(matches(store, questions, k), _CHUNK)
 

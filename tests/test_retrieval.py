@@ -3,9 +3,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from clearfold.operators import evaluation, retrieval
+from clearfold.operators import evaluation, retrieval, scoring
 from clearfold.settings import NO_ANSWER_TEXT
 from tests.corpus import QUESTION_SCHEMA, records
 
@@ -78,14 +80,59 @@ def test_pruned_search_equals_brute_force(spark, skewed, k):
         assert found[i] == brute_force(chunks, q, k), q
 
 
-def test_most_pairs_are_never_formed(spark, skewed):
-    chunks, questions = skewed
-    store, every = store_of(spark, chunks), asked(spark, questions)
-    state = retrieval._Asked(store, every, retrieval.FREQUENT_SHARE)
-    assert state.dots(state.terms).count() == len(chunks) * len(questions)
-    assert state.rare().count() < len(chunks) * len(questions) / 2
-    assert retrieval.unsettled(store, every, 1).first()["n_questions"] <= 2
-    assert retrieval.unsettled(store, asked(spark, ["the of the"]), 1).first()["n_questions"] == 1
+def zipf(seed, n_chunks=1500):
+    """Texts with natural word frequencies; questions are parts of some of them."""
+    r = random.Random(seed)
+    words = [f"w{n}" for n in range(20_000)]
+    weights = [1 / (n + 1) for n in range(len(words))]
+    chunks = [(i, " ".join(r.choices(words, weights, k=r.randint(20, 200)))) for i in range(n_chunks)]
+    questions = []
+    for _, text in r.sample(chunks, 40):
+        own = text.split()
+        at = r.randrange(len(own))
+        questions.append(" ".join(own[at : at + 60]))
+    return chunks, questions
+
+
+def test_few_pairs_are_finished(spark):
+    """Fewer than a fifth of all pairs can still matter after the frequent terms, at natural frequencies."""
+    chunks, questions = zipf(13)
+    rows = retrieval.embed_questions(asked(spark, questions)).collect()
+    slice_ = scoring.Questions(rows)
+    batch = pa.Table.from_batches(store_of(spark, chunks).select(
+        "store_id", "chunk_order", "norm", "terms", "counts").toArrow().to_batches()).combine_chunks().to_batches()[0]
+    least, finished = np.zeros(len(rows)), 0
+    for _, block in scoring.blocks(batch, pa.array(slice_.terms)):
+        q, _, score = scoring.scores(slice_, block, least, 1)
+        finished += len(q)
+        np.maximum.at(least, q, score)
+    assert finished < len(chunks) * len(questions) / 5
+    found = {h.question_id: (h.score, h.chunk_order) for h in retrieval.search(store_of(spark, chunks), asked(spark, questions), 1).collect()}
+    for i, q in enumerate(questions):
+        assert [found[i]] == brute_force(chunks, q, 1)
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_search_over_the_index(spark, corpus, k, tmp_path):
+    chunks, questions = corpus
+    store = store_of(spark, [(i * 700, t) for i, t in chunks])
+    retrieval.postings(store).write.parquet(f"{tmp_path}/postings")
+    index = spark.read.parquet(f"{tmp_path}/postings")
+    want = retrieval.matches(store, asked(spark, questions), k)
+    found = retrieval.matches(index, asked(spark, questions), k)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term" in plan
+    dense = index.where("run = 0 AND term = 'the'").first()
+    assert dense is None or len(dense["places"]) == len(dense["tfs"]) == len(dense["norms"])
+
+
+def test_questions_go_in_slices(spark, corpus, monkeypatch):
+    chunks, questions = corpus
+    monkeypatch.setattr(retrieval, "SLICE", 7)
+    found = search(spark, chunks, questions, 2)
+    for i, q in enumerate(questions):
+        assert found[i] == brute_force(chunks, q, 2), q
 
 
 def test_ties_go_to_the_earlier_chunk_and_zeros_pad(spark):
