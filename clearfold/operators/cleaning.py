@@ -5,9 +5,14 @@ aggregations that combine on the map side and joins on keys that cannot be hot:
 
 * duplicates: one minimum per (doc_id, source_type, content_hash); a group of copies that holds
   a third of the corpus leaves each map task as a single row;
-* superseding: one maximum per doc_id, handed back to the records on (doc_id, salt);
+* superseding: one maximum per doc_id, handed back on (doc_id, salt) where a doc_id has several
+  contents;
 * the verdicts meet the records again on ingest_seq, which is unique.
 
+Positions, dates and flags are packed into one decimal, so minima and maxima carry their record's
+facts through hash aggregation. Narrow rows are meant to be written once: the texts are then
+normalised and hashed a single time.
+
 No window is partitioned by a data key, so no key's records have to fit one task.
 """
 
@@ -19,6 +24,7 @@ from pyspark.sql import functions as F
 from clearfold.functions import dates, text
 from clearfold.schema import CLEANED_COLUMNS, ORDER_COLUMN
 from clearfold.settings import KNOWLEDGE_SOURCE, Thresholds
+from clearfold.sources.tables import materialised
 
 # Outcomes a record can have besides being cleaned (action null).
 REJECT, FLAG = "reject", "flag"
@@ -84,68 +90,94 @@ def narrow(staged: DataFrame) -> DataFrame:
     )
 
 
-def distinct_contents(rows: DataFrame) -> DataFrame:
+def _scale(digits: int) -> str:
+    return f"CAST('1{'0' * digits}' AS DECIMAL({digits + 1},0))"
+
+
+def _packed(high: Column, digits: int, low: Column) -> Column:
+    """One number of at most 38 digits, which hash aggregation holds in place; orders by high, then low."""
+    scale = F.expr(_scale(digits))
+    return (high.cast("decimal(19,0)") * scale + low.cast(f"decimal({digits},0)")).cast("decimal(38,0)")
+
+
+def _unpacked(packed: str, digits: int) -> tuple[Column, Column]:
+    scale = _scale(digits)
+    return F.expr(f"{packed} div {scale}"), F.expr(f"CAST({packed} % {scale} AS DECIMAL({digits},0))")
+
+
+def distinct_contents(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
     """The first record, by input order, of every (doc_id, source_type, content_hash).
 
-    Only the least position is aggregated, by hash; its record's facts are joined back on it.
+    (doc_id, ingest_seq, undated, doubtful, day): what a verdict needs, the day as a number and 0
+    where there is no readable date. Position and facts are one number, so that one hash aggregate
+    finds the first record together with its facts.
     """
-    first = F.min(ORDER_COLUMN).alias(ORDER_COLUMN)
-    firsts = rows.groupBy("doc_id", "source_type", "content_hash").agg(first).select(ORDER_COLUMN)
-    facts = rows.select(ORDER_COLUMN, "doc_id", "source_type", "content_hash", "content_length", *_FACTS)
-    return facts.join(firsts, ORDER_COLUMN).where(F.col("content_length") > 0)
-
-
-def _candidate() -> Column:
-    """Orders a doc_id's records: dated first, then latest date, then earliest input."""
-    dated = F.col("effective_date_status") == "ok"
-    return F.struct(
-        dated.alias("dated"),
-        F.when(dated, F.col("effective_date")).alias("date"),
-        (-F.col(ORDER_COLUMN)).alias("earliness"),
-        F.coalesce(text.blank_to_null(F.col("version")), F.col("effective_date")).alias("label"),
+    status = F.col("effective_date_status")
+    day = F.when(status == "ok", F.replace("effective_date", F.lit("-"), F.lit("")).cast("bigint")).otherwise(0)
+    doubtful = (F.col("ocr_confidence") < thresholds.min_ocr_confidence) | F.col("has_replacement_char")
+    facts = day * 4 + F.when(status == "missing", 2).otherwise(0) + F.coalesce(doubtful, F.lit(False)).cast("int")
+    filled = rows.where(F.col("content_length") > 0)
+    packed = filled.select(
+        "doc_id", "source_type", "content_hash", _packed(F.col(ORDER_COLUMN), 10, facts).alias("packed")
+    )
+    firsts = packed.groupBy("doc_id", "source_type", "content_hash").agg(F.min("packed").alias("packed"))
+    seq, facts = _unpacked("packed", 10)
+    return firsts.select("doc_id", seq.alias(ORDER_COLUMN), facts.cast("bigint").alias("facts")).select(
+        "doc_id",
+        ORDER_COLUMN,
+        (F.col("facts").bitwiseAND(2) > 0).alias("undated"),
+        (F.col("facts").bitwiseAND(1) > 0).alias("doubtful"),
+        F.shiftright("facts", 2).alias("day"),
     )
 
 
-def survivors(distinct: DataFrame, salts: int = SALTS) -> DataFrame:
-    """One row per doc_id and salt in use: who survives and what the others are superseded by.
+def contested(distinct: DataFrame, salts: int = SALTS) -> DataFrame:
+    """(doc_id, salts, survivor_seq, group_seq, day) of every doc_id with several contents.
 
-    group_seq is the input position of the doc_id's first record; cleaned records are ordered
-    by it, since a survivor takes its group's place.
+    The survivor is dated before undated, then latest, then first: the greatest of one number.
+    group_seq is the position of the doc_id's first record; cleaned records are ordered by it, since
+    a survivor takes its group's place. `salts` are those in use.
     """
+    last = F.lit(2**63 - 1)
+    late = last - F.col(ORDER_COLUMN)
+    candidate = _packed(F.col("day"), 19, late).alias("best")
     parts = (
-        distinct.withColumn("salt", _salt(salts))
+        distinct.select("doc_id", _salt(salts).alias("salt"), ORDER_COLUMN, candidate)
         .groupBy("doc_id", "salt")
-        .agg(F.max(_candidate()).alias("best"), F.min(ORDER_COLUMN).alias("group_seq"))
+        .agg(F.max("best").alias("best"), F.min(ORDER_COLUMN).alias("group_seq"), F.count(F.lit(1)).alias("n"))
     )
     groups = parts.groupBy("doc_id").agg(
-        F.max("best").alias("best"),
-        F.min("group_seq").alias("group_seq"),
-        F.collect_list("salt").alias("salts"),
-    )
-    superseded = F.when(
-        F.col("best.dated"), F.concat(F.lit(SUPERSEDED_BY), F.col("best.label"))
-    ).otherwise(F.lit(SUPERSEDED_NO_DATE))
-    return groups.select(
-        "doc_id",
-        (-F.col("best.earliness")).alias("survivor_seq"),
-        "group_seq",
-        superseded.alias("superseded"),
-        F.explode("salts").alias("salt"),
-    )
+        F.max("best").alias("best"), F.min("group_seq").alias("group_seq"),
+        F.sum("n").alias("n"), F.collect_list("salt").alias("salts"),
+    )
+    day, late = _unpacked("best", 19)
+    survivor = last - late.cast("bigint")
+    return groups.where("n > 1").select("doc_id", "salts", survivor.alias("survivor_seq"), "group_seq", day.alias("day"))
 
 
 def _salt(salts: int) -> Column:
     return F.pmod(F.xxhash64(ORDER_COLUMN), F.lit(salts)).cast("int")
 
 
-def decide(distinct: DataFrame, thresholds: Thresholds = Thresholds(), salts: int = SALTS) -> DataFrame:
-    """Verdict on every distinct content: superseded, flagged, or cleaned (action null)."""
-    alive = F.col(ORDER_COLUMN) == F.col("survivor_seq")
-    undated = F.col("effective_date_status") == "missing"
-    doubtful = (F.col("ocr_confidence") < thresholds.min_ocr_confidence) | F.col("has_replacement_char")
+def decide(rows: DataFrame, thresholds: Thresholds = Thresholds(), salts: int = SALTS) -> DataFrame:
+    """Verdict on every distinct content: superseded, flagged, or cleaned (action null).
+
+    `rows` are narrow staged records, best a written table. Only contested doc_ids meet their
+    survivor, and only survivors are looked up again, for the version that others are superseded by.
+    """
+    distinct = distinct_contents(rows, thresholds)
+    groups = contested(distinct, salts)
+    version = F.coalesce(text.blank_to_null(F.col("version")), F.col("effective_date")).alias("label")
+    labels = rows.select(F.col(ORDER_COLUMN).alias("survivor_seq"), version)
+    superseded = F.when(F.col("day") > 0, F.concat(F.lit(SUPERSEDED_BY), F.col("label"))).otherwise(SUPERSEDED_NO_DATE)
+    named = groups.join(labels, "survivor_seq").select(
+        "doc_id", "survivor_seq", "group_seq", superseded.alias("superseded"), F.explode("salts").alias("salt")
+    )
+    alive = F.col("survivor_seq").isNull() | (F.col(ORDER_COLUMN) == F.col("survivor_seq"))
+    undated, doubtful = F.col("undated"), F.col("doubtful")
     return (
         distinct.withColumn("salt", _salt(salts))
-        .join(survivors(distinct, salts), ["doc_id", "salt"])
+        .join(named, ["doc_id", "salt"], "left")
         .select(
             ORDER_COLUMN,
             F.when(~alive, F.lit(REJECT)).when(undated | doubtful, F.lit(FLAG)).alias("action"),
@@ -153,7 +185,7 @@ def decide(distinct: DataFrame, thresholds: Thresholds = Thresholds(), salts: in
             .when(undated, F.lit(MISSING_DATE))
             .when(doubtful, F.lit(LOW_OCR))
             .alias("reason"),
-            "group_seq",
+            F.coalesce("group_seq", ORDER_COLUMN).alias("group_seq"),
         )
     )
 
@@ -174,14 +206,14 @@ def route(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def outcomes(rows: DataFrame, thresholds: Thresholds = Thresholds(), salts: int = SALTS) -> DataFrame:
     """Narrow staged records with action, reason and group_seq."""
-    return route(rows, decide(distinct_contents(rows), thresholds, salts))
+    return route(rows, decide(rows, thresholds, salts))
 
 
 def classify(records: DataFrame, thresholds: Thresholds = Thresholds(), salts: int = SALTS) -> DataFrame:
-    """Whole staged records with their outcome. The texts are shuffled once, by ingest_seq."""
+    """Whole staged records with their outcome. The texts are shuffled once, by ingest_seq; the
+    verdicts come from narrow rows, written once."""
     staged = stage(records)
-    verdicts = decide(distinct_contents(narrow(staged)), thresholds, salts)
-    return route(staged, verdicts)
+    return route(staged, decide(materialised(narrow(staged)), thresholds, salts))
 
 
 def is_cleaned() -> Column:

@@ -33,7 +33,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.outcomes(staged(spark, sf_dir))
+    """The narrow rows are written once; every decision reads them there."""
+    return cleaning.outcomes(materialised(staged(spark, sf_dir)))
 
 
 def kept(rows: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def supersede_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supersede_no_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     undated = kb_raw(spark, sf_dir).withColumn("effective_date", F.lit(None).cast("string"))
-    rows = cleaning.outcomes(cleaning.narrow(cleaning.stage(undated)))
+    rows = cleaning.outcomes(materialised(cleaning.narrow(cleaning.stage(undated))))
     return _with_reason(rows, F.col("reason") == cleaning.SUPERSEDED_NO_DATE)
 
 
