@@ -97,6 +97,7 @@ def run(
     if halted is None:
         store = keep(retrieval.build_store(cleaning.of_knowledge_source(cleaned)), "store")
         embedded = store.count()
+        keep(retrieval.postings(store), "postings")
         keep(counts, "baseline")
         if questions is not None:
             before = retrieval.build_store(cleaning.knowledge_rows(raw))

@@ -50,7 +50,7 @@ SUITE = (
 )
 BASELINE = "source_type string, n_rows bigint"
 RUN_LOG = (
-    "seq bigint, run_id string, attempt string, status string, "
+    "entry string, follows string, seq bigint, run_id string, attempt string, status string, "
     "last_success_run string, last_success_attempt string"
 )
 SOURCE_STATS = "source_type string, n_rows bigint, loaded_at timestamp"

@@ -2,13 +2,16 @@
 
 Every attempt at a run writes directories of its own and touches no other. What readers see is
 decided by the run log alone: an attempt is published by the one row appended last, so neither a
-repeated run that halts nor one that is still writing changes anything they see.
+repeated run that halts nor one that is still writing changes anything they see. The log also says
+which attempts nobody can return to, so that their tables may go.
 """
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Callable, Collection
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -72,7 +75,8 @@ def materialised(rows: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def run_log(spark: SparkSession, root: str) -> DataFrame:
-    """(seq, run_id, attempt, status, last_success_run, last_success_attempt); empty at first."""
+    """(entry, follows, seq, run_id, attempt, status, last_success_run, last_success_attempt), one row
+    per ended run or roll-back; empty at first. `follows` names the entry that was the head before."""
     try:
         return spark.read.schema(RUN_LOG).parquet(f"{root}/run_log")
     except AnalysisException as e:
@@ -81,30 +85,59 @@ def run_log(spark: SparkSession, root: str) -> DataFrame:
         raise
 
 
+def history(spark: SparkSession, root: str) -> list[Row]:
+    """The log's rows that count, first to last; a row per run, small enough for the driver.
+
+    Two runs that end at once may follow the same entry. Whoever reads the log takes the same one of
+    them as its head: the row farthest from the start, of equally far ones the earliest entry. What
+    that row follows counts with it, and no other row does.
+    """
+    rows = {r["entry"]: r for r in run_log(spark, root).collect()}
+    head = min(rows.values(), key=lambda r: (-r["seq"], r["entry"]), default=None)
+    counting = []
+    while head is not None:
+        counting.append(head)
+        head = rows.get(head["follows"])
+    return counting[::-1]
+
+
 def state(spark: SparkSession, root: str) -> Row | None:
-    """The latest log row."""
-    return run_log(spark, root).orderBy(F.desc("seq")).first()
+    """The log's head."""
+    return next(reversed(history(spark, root)), None)
 
 
-def last_success(spark: SparkSession, root: str) -> tuple[str, str] | None:
-    """Run and attempt that readers see."""
-    latest = state(spark, root)
-    if latest is None or latest["last_success_run"] is None:
+def _seen(head: Row | None) -> tuple[str, str] | None:
+    if head is None or head["last_success_run"] is None:
         return None
-    return latest["last_success_run"], latest["last_success_attempt"]
+    return head["last_success_run"], head["last_success_attempt"]
 
 
-def _append(spark: SparkSession, root: str, run: tuple[str, str], status: str, seen: tuple[str, str] | None) -> None:
-    latest = state(spark, root)
-    seq = latest["seq"] + 1 if latest else 0
-    row = spark.createDataFrame([(seq, *run, status, *(seen or (None, None)))], RUN_LOG)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/run_log")
+def last_success(spark: SparkSession, root: str) -> tuple[str, str] | None:
+    """Run and attempt that readers see."""
+    return _seen(state(spark, root))
+
+
+def _append(
+    spark: SparkSession, root: str, run: tuple[str, str], status: str,
+    seen: Callable[[list[Row]], tuple[str, str] | None],
+) -> None:
+    """Append a row after the head. Where another run was faster and its row counts instead, append
+    again after that one; `seen` tells from the rows that count what readers are to see."""
+    while True:
+        before = history(spark, root)
+        head = before[-1] if before else None
+        entry = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        follows, seq = (head["entry"], head["seq"] + 1) if head else (None, 0)
+        row = (entry, follows, seq, *run, status, *(seen(before) or (None, None)))
+        spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{root}/run_log")
+        if any(r["entry"] == entry for r in history(spark, root)):
+            return
 
 
 def append_log(spark: SparkSession, root: str, run_id: str, attempt: str, status: str) -> None:
     """A halted run carries the last successful one forward."""
     run = (run_id, attempt)
-    _append(spark, root, run, status, run if status == PUBLISHED else last_success(spark, root))
+    _append(spark, root, run, status, lambda log: run if status == PUBLISHED else _seen(log[-1] if log else None))
 
 
 def load_baseline(spark: SparkSession, root: str) -> DataFrame:
@@ -121,22 +154,65 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame | No
     return None if published is None else read(spark, root, table, *published)
 
 
+def _previous(log: list[Row], current: tuple[str, str] | None) -> tuple[str, str] | None:
+    """What was published before the current run first was, and has not been rolled back since."""
+    if current is None:
+        return None
+    first = min((r["seq"] for r in log if r["status"] == PUBLISHED and r["run_id"] == current[0]), default=None)
+    left = {r["run_id"]: r["seq"] for r in log if r["status"] == ROLLED_BACK}
+    standing = [
+        r for r in log
+        if first is not None and r["status"] == PUBLISHED and r["seq"] < first and left.get(r["run_id"], -1) < r["seq"]
+    ]
+    return (standing[-1]["run_id"], standing[-1]["attempt"]) if standing else None
+
+
 def roll_back(spark: SparkSession, root: str) -> str:
     """Publish again what was published before the current run first was; nothing is rewritten.
 
     What has been rolled back before is not returned to, so that repeated calls go back step by
     step.
     """
-    log = run_log(spark, root)
-    current = last_success(spark, root)
-    if current is not None:
-        first = log.where((F.col("status") == PUBLISHED) & (F.col("run_id") == current[0]))
-        first_seq = first.agg(F.min("seq")).first()[0]
-        left = log.where(F.col("status") == ROLLED_BACK).groupBy("run_id").agg(F.max("seq").alias("left_at"))
-        earlier = log.where((F.col("status") == PUBLISHED) & (F.col("seq") < F.lit(first_seq)))
-        standing = earlier.join(left, "run_id", "left").where("left_at IS NULL OR left_at < seq")
-        previous = standing.orderBy(F.desc("seq")).first()
-        if previous is not None:
-            _append(spark, root, current, ROLLED_BACK, (previous["run_id"], previous["attempt"]))
-            return previous["run_id"]
-    raise ValueError("no earlier published run to roll back to")
+    log = history(spark, root)
+    current = _seen(log[-1]) if log else None
+    previous = _previous(log, current)
+    if previous is None:
+        raise ValueError("no earlier published run to roll back to")
+    _append(spark, root, current, ROLLED_BACK, lambda _: previous)
+    return previous[0]
+
+
+def reachable(log: list[Row], steps: int | None = None) -> set[str]:
+    """Attempts that readers see or roll-backs, `steps` at most, can return to; and the last run's."""
+    found, current = {log[-1]["attempt"]} if log else set(), _seen(log[-1]) if log else None
+    while current is not None:
+        found.add(current[1])
+        if steps is not None:
+            steps -= 1
+            if steps < 0:
+                break
+        current = _previous(log, current)
+    return found
+
+
+def clear(spark: SparkSession, root: str, steps: int | None = None, abandoned: Collection[str] = ()) -> list[str]:
+    """Delete the tables of ended attempts that nothing can return to; their paths below `root`.
+
+    An attempt that is not in the log may still be writing and stays, unless the caller names it as
+    abandoned. The log itself is kept whole. With `steps`, only that many roll-backs stay possible.
+    """
+    every = run_log(spark, root).select("attempt").distinct().collect()
+    doomed = ({r["attempt"] for r in every} | set(abandoned)) - reachable(history(spark, root), steps)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    base = hadoop.Path(root)
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.globStatus(hadoop.Path(f"{root}/*/run_id=*/attempt=*")) or []:
+        path = status.getPath()
+        if path.getName().removeprefix("attempt=") in doomed:
+            files.delete(path, True)
+            parent = path.getParent()
+            gone.append(f"{parent.getParent().getName()}/{parent.getName()}/{path.getName()}")
+            if not files.listStatus(parent):
+                files.delete(parent, False)
+    return sorted(gone)

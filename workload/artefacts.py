@@ -8,12 +8,13 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearfold.operators import retrieval
 from clearfold.plans.run import RunResult, run
 from clearfold.schema import CANONICAL_COLUMNS, ORDER_COLUMN
 from clearfold.settings import KNOWLEDGE_SOURCE, SOURCES
 from clearfold.sources import canonical, readers, tables
 from workload.kb_raw import kb_raw, source_records
-from workload.queries import NOW
+from workload.queries import NOW, questions
 
 TICKET_COLUMNS = {
     "ticket_id": "doc_id", "source_uri": "source_uri", "subject": "title", "updated_at": "effective_date",
@@ -90,6 +91,13 @@ def published_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, _published(spark, sf_dir)[0])
 
 
+def published_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best chunks of the published store, found in its inverted index alone."""
+    index = tables.read_published(spark, _published(spark, sf_dir)[0], "postings")
+    found = retrieval.matches(index, questions(spark, sf_dir), 5)
+    return found.select("question_id", F.col("rank").cast("bigint").alias("rank"), "chunk_order", "score")
+
+
 def baseline_after_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_baseline(spark, _published(spark, sf_dir)[0])
 
@@ -116,7 +124,7 @@ def rolled_back_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARTEFACTS = {
     q.__name__: q
     for q in (
-        csv_round_trip, issues_round_trip, raw_snapshot, published_store, baseline_after_publish,
+        csv_round_trip, issues_round_trip, raw_snapshot, published_store, published_topk, baseline_after_publish,
         run_state_after_halt, gate_reason, rolled_back_store,
     )
 }

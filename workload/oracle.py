@@ -136,6 +136,8 @@ _QUESTIONS = f"""asked AS (
              CASE WHEN length(words[i]) >= 4 AND list_position(words, words[i]) = i THEN words[i] END),
            lambda w: w IS NOT NULL) AS keywords
   FROM asked
+), stale AS (
+  SELECT question_id, CASE WHEN question_id % 4 = 1 THEN keywords[1] END AS stale_marker FROM marked
 )"""
 
 
@@ -169,9 +171,10 @@ def _scores(name: str) -> str:
          coalesce(c.doc_id, '-') AS cited_doc, c.version AS cited_version,
          c.effective_date AS cited_date, coalesce(r.score, 0.0::DOUBLE) AS score,
          list_bool_and(list_transform(keywords, lambda k: contains(lower(
-           coalesce(c.text, 'Không tìm thấy thông tin trong cơ sở tri thức.')), lower(k)))) AS all_in,
+           coalesce(c.text, 'Không tìm thấy thông tin trong cơ sở tri thức.')), lower(k))))
+           AND NOT coalesce(contains(lower(c.text), lower(stale_marker)), false) AS all_in,
          keywords
-  FROM marked LEFT JOIN (SELECT * FROM {name}_ranked WHERE rank = 1) r USING (question_id)
+  FROM marked JOIN stale USING (question_id) LEFT JOIN (SELECT * FROM {name}_ranked WHERE rank = 1) r USING (question_id)
   LEFT JOIN {name} c USING (chunk_order)
 )"""
 
@@ -485,6 +488,8 @@ ORACLE |= {
     "raw_snapshot": f"WITH {_KB} SELECT * FROM kb",
     "published_store": f"""{_published("source_type IN ('jira', 'file')")} {_STORED}
         FROM cleaned WHERE source_type = 'file'""",
+    "published_topk": f"""{_published("source_type IN ('jira', 'file')")}, {_QUESTIONS}, {_store('pub', 'cleaned')},
+        {_scores('pub')} SELECT question_id, rank, chunk_order, score FROM pub_ranked WHERE rank <= 5""",
     "baseline_after_publish": f"""WITH {_KB} SELECT s.source_type,
         count(kb.ingest_seq) FILTER (s.source_type <> 'postgres') AS n_rows
         FROM (VALUES ('postgres'), ('jira'), ('file')) s(source_type)
