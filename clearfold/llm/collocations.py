@@ -17,6 +17,7 @@ counted, which costs time and changes no result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -94,6 +95,15 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[Pieces, list[str]]]:
         row = end
 
 
+def _compressed(fields: dict[int, np.ndarray]) -> dict[int, bytes]:
+    """Fields as they cross to the tasks; nearly all places hold one value until many are active."""
+    return {size: zlib.compress(field.tobytes(), 1) for size, field in fields.items()}
+
+
+def _restored(fields: dict[int, bytes], kind: type) -> dict[int, np.ndarray]:
+    return {size: np.frombuffer(zlib.decompress(field), kind) for size, field in fields.items()}
+
+
 def _looked_up(field: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """What the field, of a power of two of places, holds where the keys' first bits point."""
     return field[(keys >> np.uint64(65 - len(field).bit_length())).astype(np.int64)]
@@ -108,6 +118,7 @@ def _counter(step: int, shards: int, longest: int, active: Broadcast) -> Callabl
     """Counts of one scan: words in the first cycle, and longer phrases in their own cycles."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = _restored(active.value, np.uint8)
         for batch in batches:
             for pieces, _ in _runs(batch):
                 since = np.zeros(len(pieces.text), np.uint8)
@@ -116,7 +127,7 @@ def _counter(step: int, shards: int, longest: int, active: Broadcast) -> Callabl
                 for size in range(1, longest + 1):
                     if size > 1:
                         # A phrase is active once both subphrases are.
-                        sub = _looked_up(active.value[size - 1], keys)
+                        sub = _looked_up(fields[size - 1], keys)
                         since = np.full(len(sub), NEVER, np.uint8)
                         since[:-1] = np.maximum(sub[:-1], sub[1:])
                         keys = pieces.keys(size)
@@ -136,12 +147,13 @@ def _finder(longest: int, wanted: Broadcast) -> Callable:
     """Words, language and parts of the phrases whose place is wanted, once for each run."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = _restored(wanted.value, np.bool_)
         for batch in batches:
             for pieces, languages in _runs(batch):
                 of_size = {n: pieces.keys(n) for n in range(1, longest + 1)}
                 for size in range(2, longest + 1):
                     keys, whole = of_size[size], pieces.whole(size)
-                    at = np.flatnonzero(whole & _looked_up(wanted.value[size], keys))
+                    at = np.flatnonzero(whole & _looked_up(fields[size], keys))
                     _, first = np.unique(keys[at], return_index=True)
                     at = at[first]
                     left = np.stack([of_size[k][at] for k in range(1, size)], axis=1)
@@ -189,7 +201,7 @@ def frequent(docs: DataFrame, least: int, longest: int, shards: int) -> DataFram
     # Cohorts whose cycle is not over, by the scan at which it began.
     open_cohorts = {cohort(0, 0): 0, cohort(1, 0): 0}
     while open_cohorts:
-        active = spark.sparkContext.broadcast(fields)
+        active = spark.sparkContext.broadcast(_compressed(fields))
         own = _read(docs.where(shard == step % shards))
         counted = own.mapInArrow(_counter(step, shards, longest, active), "cohort int, key long, n long")
         if running is not None:
@@ -199,6 +211,7 @@ def frequent(docs: DataFrame, least: int, longest: int, shards: int) -> DataFram
         enough = (F.col("n") >= least) | (F.col("cohort") < cohort(1, 0))
         still = ~F.col("cohort").isin(over)
         total = written(total.where(enough | still))
+        active.destroy()
         done.append(total.where(F.col("cohort").isin(over)))
         running = total.where(still)
         open_cohorts = {c: s for c, s in open_cohorts.items() if c not in over}
@@ -224,12 +237,14 @@ def scored(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     counts = frequent(docs, least, longest, shards)
     wanted = {size: _marked(counts.where(F.col("size") == size)) for size in range(2, longest + 1)}
     kind = "size int, key long, language long, lang string, phrase binary, lefts array<long>, rights array<long>"
-    found = _read(docs).mapInArrow(_finder(longest, docs.sparkSession.sparkContext.broadcast(wanted)), kind)
+    places = docs.sparkSession.sparkContext.broadcast(_compressed(wanted))
+    found = _read(docs).mapInArrow(_finder(longest, places), kind)
     a = counts.where("size > 1").withColumnRenamed("n", "a")
     # Who stands for a phrase's words: any of the rows that found it, all of them being equal.
     rest = F.min(F.struct("language", "lang", "phrase", "lefts", "rights")).alias("rest")
     phrases = found.join(a, ["size", "key"]).groupBy("size", "key", "a").agg(rest)
     phrases = written(phrases.select("size", "key", "a", "rest.*"))
+    places.destroy()
 
     cut = F.posexplode(F.arrays_zip("lefts", "rights")).alias("at", "parts")
     cuts = phrases.select("size", "key", "a", cut).select(
