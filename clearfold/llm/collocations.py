@@ -32,7 +32,7 @@ from clearfold.llm.common import Words, list_of, mix, ship, written
 SHARDS = 2
 FIELD_BITS = 24
 # Bytes of text whose counts are summed before they leave the task.
-RUN = 8 << 20
+RUN = 2 << 20
 NEVER = 255
 UNKNOWN_LANGUAGE = "und"
 LEAST, TOP, LONGEST = 10, 2000, 3
