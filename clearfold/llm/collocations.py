@@ -144,33 +144,48 @@ def _counter(step: int, shards: int, longest: int, active: Broadcast) -> Callabl
 
 
 def _finder(longest: int, wanted: Broadcast) -> Callable:
-    """Words, language and parts of the phrases whose place is wanted, once for each run."""
+    """Language and words of the phrases whose place is wanted, each once for a task."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = _restored(wanted.value, np.bool_)
+        told = {size: np.zeros(0, np.uint64) for size in fields}
         for batch in batches:
             for pieces, languages in _runs(batch):
-                of_size = {n: pieces.keys(n) for n in range(1, longest + 1)}
                 for size in range(2, longest + 1):
-                    keys, whole = of_size[size], pieces.whole(size)
-                    at = np.flatnonzero(whole & _looked_up(fields[size], keys))
-                    _, first = np.unique(keys[at], return_index=True)
-                    at = at[first]
-                    left = np.stack([of_size[k][at] for k in range(1, size)], axis=1)
-                    right = np.stack([of_size[size - k][at + k] for k in range(1, size)], axis=1)
+                    keys = pieces.keys(size)
+                    at = np.flatnonzero(pieces.whole(size) & _looked_up(fields[size], keys))
+                    found, first = np.unique(keys[at], return_index=True)
+                    new = ~np.isin(found, told[size], assume_unique=True)
+                    told[size] = np.union1d(told[size], found[new])
+                    at = at[first[new]]
                     arrays = [
                         pa.array(np.full(len(at), size, np.int32)), pa.array(keys[at].view(np.int64)),
-                        pa.array(pieces.language[at].view(np.int64)),
                         pa.array([languages[t] for t in pieces.text[at].tolist()], pa.string()),
                         pa.array([pieces.phrase(i, size) for i in at.tolist()], pa.binary()),
-                        *(list_of(x.reshape(-1).view(np.int64), np.full(len(at), size - 1), pa.int64()) for x in (left, right)),
                     ]
-                    names = ["size", "key", "language", "lang", "phrase", "lefts", "rights"]
-                    yield pa.RecordBatch.from_arrays(arrays, names)
+                    yield pa.RecordBatch.from_arrays(arrays, ["size", "key", "lang", "text"])
 
     return find
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases with the hashes of their language and of what each cut leaves on both sides."""
+    for batch in batches:
+        row = 0
+        for pieces, languages in _runs(batch):
+            rows = batch.slice(row, len(languages))
+            row += len(languages)
+            sizes = rows.column("size").to_pylist()
+            first, of_size = pieces.words.offsets[:-1].tolist(), {n: pieces.keys(n).view(np.int64) for n in range(1, max(sizes))}
+            left = [[int(of_size[k][i]) for k in range(1, n)] for i, n in zip(first, sizes)]
+            right = [[int(of_size[n - k][i + k]) for k in range(1, n)] for i, n in zip(first, sizes)]
+            arrays = [
+                *(rows.column(c) for c in ("size", "key", "a", "lang", "text")),
+                pa.array(pieces.language[first].view(np.int64)), pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["size", "key", "a", "lang", "phrase", "language", "lefts", "rights"])
+
+
 def _marked(rows: DataFrame) -> np.ndarray:
     """The places of the rows' keys, as a boolean array; as many bits cross to the driver at most."""
     place = F.shiftrightunsigned("key", 64 - FIELD_BITS)
@@ -236,14 +251,13 @@ def scored(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards:
     """lang, phrase, words, a, l, r, n, score of each candidate that no longer one stands for."""
     counts = frequent(docs, least, longest, shards)
     wanted = {size: _marked(counts.where(F.col("size") == size)) for size in range(2, longest + 1)}
-    kind = "size int, key long, language long, lang string, phrase binary, lefts array<long>, rights array<long>"
     places = docs.sparkSession.sparkContext.broadcast(_compressed(wanted))
-    found = _read(docs).mapInArrow(_finder(longest, places), kind)
+    found = _read(docs).mapInArrow(_finder(longest, places), "size int, key long, lang string, text binary")
     a = counts.where("size > 1").withColumnRenamed("n", "a")
-    # Who stands for a phrase's words: any of the rows that found it, all of them being equal.
-    rest = F.min(F.struct("language", "lang", "phrase", "lefts", "rights")).alias("rest")
-    phrases = found.join(a, ["size", "key"]).groupBy("size", "key", "a").agg(rest)
-    phrases = written(phrases.select("size", "key", "a", "rest.*"))
+    # Who tells a phrase's words: any of the tasks that found it, all of them saying the same.
+    told = found.join(a, ["size", "key"]).groupBy("size", "key", "a").agg(F.min(F.struct("lang", "text")).alias("told"))
+    kind = "size int, key long, a long, lang string, phrase binary, language long, lefts array<long>, rights array<long>"
+    phrases = written(told.select("size", "key", "a", "told.*").mapInArrow(_parts, kind))
     places.destroy()
 
     cut = F.posexplode(F.arrays_zip("lefts", "rights")).alias("at", "parts")
