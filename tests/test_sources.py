@@ -15,7 +15,7 @@ def folder(tmp_path_factory):
 
 
 def test_tickets(spark, folder):
-    rows = readers.read_tickets(spark, f"{folder}/tickets.csv").collect()
+    rows = readers.read_tickets(spark, f"{folder}/tickets.csv").orderBy("ingest_seq").collect()
     assert [r.doc_id for r in rows] == [t[0] for t in TICKETS]
     assert [r.content for r in rows] == [t[6] for t in TICKETS]
     assert {(r.source_type, r.version, r.ocr_confidence) for r in rows} == {("postgres", None, 1.0)}
@@ -24,14 +24,14 @@ def test_tickets(spark, folder):
 
 @pytest.mark.parametrize(("name", "lines"), [("issues.json", False), ("issues.jsonl", True)])
 def test_issues(spark, folder, name, lines):
-    rows = readers.read_issues(spark, f"{folder}/{name}", lines).collect()
+    rows = readers.read_issues(spark, f"{folder}/{name}", lines).orderBy("ingest_seq").collect()
     assert [(r.doc_id, r.source_uri, r.title, r.effective_date, r.content) for r in rows] == [
         (i[0], f"jira/{i[0]}", i[1], i[2], i[5]) for i in ISSUES
     ]
 
 
 def test_documents(spark, folder):
-    rows = readers.read_documents(spark, f"{folder}/documents.csv").collect()
+    rows = readers.read_documents(spark, f"{folder}/documents.csv").orderBy("ingest_seq").collect()
     assert [(r.doc_id, r.title or "", r.version or "") for r in rows] == [(d[0], d[2], d[4]) for d in DOCUMENTS]
     assert [r.content for r in rows] == [d[6] for d in DOCUMENTS]
     assert rows[8].ocr_confidence == 0.4

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clearfold.operators import retrieval
@@ -21,6 +21,8 @@ TICKET_COLUMNS = {
     "priority": "CAST(NULL AS STRING)", "status": "CAST(NULL AS STRING)", "body": "content",
 }
 ISSUE_COLUMNS = {"key": "doc_id", "summary": "title", "updated": "effective_date", "description": "content"}
+# Neighbouring records that share a file, where their order in files matters.
+SHARD = 1000
 DOCUMENT_COLUMNS = [c for c in CANONICAL_COLUMNS if c != "source_type"]
 
 
@@ -46,6 +48,40 @@ def issues_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_issues(spark, f"{folder}/issues", lines=True).drop(ORDER_COLUMN)
 
 
+def csv_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickets in several files, in order within each, and the positions they are read with."""
+    tickets = source_records(spark, sf_dir).where("source_type = 'postgres'")
+    row = tickets.selectExpr(*(f"{v} AS {k}" for k, v in TICKET_COLUMNS.items()), ORDER_COLUMN)
+    shard = F.lpad((F.col(ORDER_COLUMN) / SHARD).cast("bigint").cast("string"), 12, "0")
+    in_order = row.withColumn("shard", shard).repartition("shard").sortWithinPartitions("shard", ORDER_COLUMN)
+    folder = _folder(spark)
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    in_order.drop(ORDER_COLUMN).write.partitionBy("shard").options(**options).csv(f"{folder}/tickets")
+    return readers.read_tickets(spark, f"{folder}/tickets").select(ORDER_COLUMN, "doc_id", "source_uri", "content")
+
+
+def issue_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues as files that each hold one JSON array, on several lines, and read again."""
+    records = source_records(spark, sf_dir).where("source_type = 'jira'")
+    issue = F.struct(*(F.expr(v).alias(k) for k, v in ISSUE_COLUMNS.items()))
+    text = F.to_json(issue, {"ignoreNullFields": "false"})
+    file = (F.col(ORDER_COLUMN) / SHARD).cast("bigint").alias("file")
+    # A file's lines are its opening bracket, its objects, commas before all but the first, and the
+    # closing bracket; the files are written by rows in this order.
+    first = F.row_number().over(Window.partitionBy("file").orderBy(ORDER_COLUMN)) == 1
+    objects = records.select(file, ORDER_COLUMN, text.alias("value")).select(
+        "file", ORDER_COLUMN, F.concat(F.when(first, "").otherwise(", "), "value").alias("value")
+    )
+    ends = objects.select("file").distinct().select(
+        "file", F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias(ORDER_COLUMN), F.lit("[").alias("value")),
+                                  F.struct(F.lit((1 << 63) - 1).alias(ORDER_COLUMN), F.lit("]").alias("value")))).alias("end"),
+    ).select("file", "end.*")
+    lines = objects.unionByName(ends).repartition("file").sortWithinPartitions("file", ORDER_COLUMN)
+    folder = _folder(spark)
+    lines.drop(ORDER_COLUMN).write.partitionBy("file").text(f"{folder}/issues")
+    return readers.read_issues(spark, f"{folder}/issues").drop(ORDER_COLUMN)
+
+
 def raw_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.write(kb_raw(spark, sf_dir), _folder(spark), "raw", "r", tables.new_attempt()).drop("run_id")
 
@@ -124,7 +160,7 @@ def rolled_back_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARTEFACTS = {
     q.__name__: q
     for q in (
-        csv_round_trip, issues_round_trip, raw_snapshot, published_store, published_topk, baseline_after_publish,
+        csv_round_trip, csv_positions, issues_round_trip, issue_arrays, raw_snapshot, published_store, published_topk, baseline_after_publish,
         run_state_after_halt, gate_reason, rolled_back_store,
     )
 }

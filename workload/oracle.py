@@ -461,6 +461,11 @@ ORACLE: dict[str, str] = {
 }
 
 
+_ISSUES_BACK = f"""WITH {_KB} SELECT doc_id, source_type, 'jira/' || doc_id AS source_uri, title,
+        effective_date, CAST(NULL AS VARCHAR) AS version, 1.0::DOUBLE AS ocr_confidence, content
+        FROM kb WHERE source_type = 'jira'"""
+
+
 def _published(condition: str) -> str:
     """Cleaned records of a run over the sources that meet the condition, unreadable days left out;
     positions as `union_sources` gives them."""
@@ -482,9 +487,11 @@ ORACLE |= {
         CASE source_type WHEN 'file' THEN version END AS version,
         CASE source_type WHEN 'file' THEN ocr_confidence ELSE 1.0::DOUBLE END AS ocr_confidence, content
         FROM kb WHERE source_type IN ('postgres', 'file')""",
-    "issues_round_trip": f"""WITH {_KB} SELECT doc_id, source_type, 'jira/' || doc_id AS source_uri, title,
-        effective_date, CAST(NULL AS VARCHAR) AS version, 1.0::DOUBLE AS ocr_confidence, content
-        FROM kb WHERE source_type = 'jira'""",
+    "issues_round_trip": _ISSUES_BACK,
+    "issue_arrays": _ISSUES_BACK,
+    "csv_positions": f"""WITH {_KB}, t AS (SELECT *, ingest_seq // 1000 AS shard FROM kb WHERE source_type = 'postgres')
+        SELECT (dense_rank() OVER (ORDER BY shard) - 1) * 8589934592 + 1
+          + row_number() OVER (PARTITION BY shard ORDER BY ingest_seq) AS ingest_seq, doc_id, source_uri, content FROM t""",
     "raw_snapshot": f"WITH {_KB} SELECT * FROM kb",
     "published_store": f"""{_published("source_type IN ('jira', 'file')")} {_STORED}
         FROM cleaned WHERE source_type = 'file'""",
