@@ -113,8 +113,9 @@ def check_volume(counts: DataFrame, baseline: DataFrame, thresholds: Thresholds
     )
 
 
-def measured(rows: DataFrame) -> DataFrame:
-    """What the distribution checks look at. Narrow rows carry it; otherwise it is derived."""
+def measured(rows: DataFrame, *more: str) -> DataFrame:
+    """What the distribution checks look at, and further columns. Narrow rows carry it; otherwise it
+    is derived."""
     have = rows.columns
     length = F.col("content_length") if "content_length" in have else F.length(text_or_empty(F.col("content")))
     noisy = (
@@ -122,10 +123,10 @@ def measured(rows: DataFrame) -> DataFrame:
         if "has_replacement_char" in have
         else has_replacement_char(text_or_empty(F.col("content")))
     )
-    return rows.select("doc_id", "effective_date", length.alias("content_length"), noisy.alias("noisy"))
+    return rows.select(*more, "doc_id", "effective_date", length.alias("content_length"), noisy.alias("noisy"))
 
 
-def distribution(rows: DataFrame) -> DataFrame:
+def distribution(rows: DataFrame, with_median: bool = True) -> DataFrame:
     """One row of counts and lengths. The exact median keeps one counter per distinct length,
     merged on the map side, so its state is bounded by the longest text, not by the rows."""
     m = measured(rows)
@@ -134,7 +135,7 @@ def distribution(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(undated).alias("undated"),
         F.min("content_length").cast("bigint").alias("min_length"),
-        F.median("content_length").cast("bigint").alias("median_length"),
+        *([F.median("content_length").cast("bigint").alias("median_length")] if with_median else []),
         F.max("content_length").cast("bigint").alias("max_length"),
         F.count_if("noisy").alias("noisy"),
     )
@@ -154,20 +155,27 @@ def cardinality(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("doc_id").alias("doc_ids"))
 
 
-def check_distribution(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+def _length_check(median: Column) -> list[Column]:
+    lengths = F.concat(
+        *[F.lit("min="), F.col("min_length"), F.lit(" median="), median],
+        *[F.lit(" max="), F.col("max_length")],
+    )
+    return _check("distribution", "content_length", F.lit(PASS), median, lengths)
+
+
+def check_distribution(
+    rows: DataFrame, thresholds: Thresholds = Thresholds(), estimated: DataFrame | None = None
+) -> DataFrame:
     """Null rate, content length, key cardinality and, when there is any, replacement noise.
 
-    An empty batch gives a single warning.
+    An empty batch gives a single warning. Of `estimated` (sketches.estimates, one row) the median and
+    the distinct keys are taken instead of being counted; the details say so.
     """
     rate = null_rate(F.col("undated"), F.col("n"))
     some = F.col("n") > 0
     share = F.concat(F.col("undated"), F.lit("/"), F.col("n"), F.lit(" rows null"))
-    lengths = F.concat(
-        *[F.lit("min="), F.col("min_length"), F.lit(" median="), F.col("median_length")],
-        *[F.lit(" max="), F.col("max_length")],
-    )
     ok, warn = F.lit(PASS), F.lit(WARN)
-    facts = distribution(rows)
+    facts = distribution(rows, estimated is None)
     checks = [
         (
             F.lit(True),
@@ -179,19 +187,24 @@ def check_distribution(rows: DataFrame, thresholds: Thresholds = Thresholds()) -
                 F.when(some, share).otherwise("empty batch"),
             ),
         ),
-        (some, _check("distribution", "content_length", ok, F.col("median_length"), lengths)),
         (
             F.col("noisy") > 0,
             _check("distribution", "ocr_noise", warn, F.col("noisy"), F.lit("replacement characters")),
         ),
     ]
+    if estimated is None:
+        checks.append((some, _length_check(F.col("median_length"))))
     structs = F.array(*(F.struct(F.lit(i).alias("i"), wanted.alias("wanted"), *cols) for i, (wanted, cols) in enumerate(checks)))
-    of_rows = facts.select(F.inline(structs)).where("wanted").select(*_COLUMNS)
-    keys = cardinality(rows).where(F.col("doc_ids") > 0)
+    found = facts.select(F.inline(structs)).where("wanted").select(*_COLUMNS)
+    about = "" if estimated is None else "about "
+    if estimated is not None:
+        of_lengths = estimated.where("n_rows > 0").select(*_length_check(F.col("median_length")))
+        found = found.unionByName(of_lengths.withColumn("detail", F.concat(F.lit(about), "detail")))
+    keys = (cardinality(rows) if estimated is None else estimated).where(F.col("doc_ids") > 0)
     of_keys = keys.select(
-        *_check("distribution", "cardinality[doc_id]", ok, F.col("doc_ids"), F.lit("unique doc_ids"))
+        *_check("distribution", "cardinality[doc_id]", ok, F.col("doc_ids"), F.lit(f"{about}unique doc_ids"))
     )
-    return of_rows.unionByName(of_keys)
+    return found.unionByName(of_keys)
 
 
 def check_low_ocr(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
@@ -286,11 +299,12 @@ def monitor(
     thresholds: Thresholds = Thresholds(),
     schema_of: DataFrame | None = None,
     slas: DataFrame | None = None,
+    estimated: DataFrame | None = None,
 ) -> DataFrame:
     """All pillar checks: source statistics on the way in, distribution of the cleaned rows."""
     return (
         check_freshness(stats, now, thresholds, slas)
         .unionByName(check_volume(stats, baseline, thresholds))
-        .unionByName(check_distribution(rows, thresholds))
+        .unionByName(check_distribution(rows, thresholds, estimated))
         .unionByName(check_schema(schema_of if schema_of is not None else rows))
     )

@@ -17,7 +17,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearfold.operators import cleaning, evaluation, expectations, monitors, retrieval
+from clearfold.operators import cleaning, evaluation, expectations, monitors, retrieval, sketches
 from clearfold.plans import report
 from clearfold.schema import EVALUATION_COLUMNS, ORDER_COLUMN
 from clearfold.settings import SOURCES, Thresholds, parse_now, run_id_of
@@ -54,11 +54,13 @@ def run(
     thresholds: Thresholds = Thresholds(),
     slas: DataFrame | None = None,
     warn_low_ocr: bool = False,
+    approximate: bool = False,
 ) -> RunResult:
     """Run over canonical records per source, writing every table under `root`.
 
     `questions`: question_id, question, expect_keywords, stale_marker. `slas`: source_type,
     sla_hours, where sources differ. `warn_low_ocr` adds the check of kept but doubtful scans.
+    `approximate` takes median length and distinct keys from sketches, which it stores as a table.
     """
     run_id, attempt = run_id_of(now), tables.new_attempt()
 
@@ -80,7 +82,8 @@ def run(
         in_store_order, *[c for c in routed.columns if c != ORDER_COLUMN]
     )
     baseline = tables.load_baseline(spark, root)
-    checks = monitors.monitor(kept, stats, baseline, now, thresholds, raw, slas)
+    estimated = sketches.estimates(keep(sketches.of_sources(kept), "sketches")) if approximate else None
+    checks = monitors.monitor(kept, stats, baseline, now, thresholds, raw, slas, estimated)
     if warn_low_ocr:
         checks = checks.unionByName(monitors.check_low_ocr(kept, thresholds))
     checks = keep(checks, "checks")
@@ -128,6 +131,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--root", required=True, help="folder of the run's tables")
     p.add_argument("--loaded", nargs="*", default=[], metavar="SOURCE=TIME", help="when sources were loaded, ISO 8601")
     p.add_argument("--sla", nargs="*", default=[], metavar="SOURCE=HOURS", help="freshness SLAs that differ")
+    p.add_argument("--approximate", action="store_true", help="median and distinct keys from sketches")
     p.add_argument("--now", help="the run's clock, ISO 8601")
     args = p.parse_args(argv)
 
@@ -146,7 +150,7 @@ def main(argv: list[str] | None = None) -> int:
     loaded = {s: now for s in SOURCES} | {s: parse_now(t) for s, t in (x.split("=", 1) for x in args.loaded)}
     slas = [(s, float(h)) for s, h in (x.split("=", 1) for x in args.sla)]
     slas = spark.createDataFrame(slas, "source_type string, sla_hours double") if slas else None
-    result = run(spark, by_source, args.root, now, loaded, asked, slas=slas)
+    result = run(spark, by_source, args.root, now, loaded, asked, slas=slas, approximate=args.approximate)
     print(f"run_id={result.run_id} status={result.status} monitor worst={result.worst}")
     for name, n in result.funnel.items():
         print(f"{name}={n}")

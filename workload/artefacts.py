@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clearfold.operators import retrieval
+from clearfold.operators import monitors, retrieval, sketches
 from clearfold.plans.run import RunResult, run
 from clearfold.schema import CANONICAL_COLUMNS, ORDER_COLUMN
 from clearfold.settings import KNOWLEDGE_SOURCE, SOURCES
@@ -157,10 +157,69 @@ def rolled_back_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _store(spark, root).withColumn("source", F.lit(KNOWLEDGE_SOURCE))
 
 
+def _sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates over the stored sketches of two runs, each of which saw half of the records."""
+    root, attempt, records = _folder(spark), tables.new_attempt(), kb_raw(spark, sf_dir)
+    for half in (0, 1):
+        own = sketches.of_sources(records.where(F.col(ORDER_COLUMN) % 2 == half))
+        tables.write(own, root, "sketches", f"run{half}", attempt)
+    return sketches.estimates(spark.read.parquet(f"{root}/sketches"))
+
+
+def approximate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct keys, and whether the merged sketches tell them to within their error."""
+    counted = monitors.cardinality(kb_raw(spark, sf_dir)).withColumn("one", F.lit(1))
+    told = _sketched(spark, sf_dir).select(F.lit(1).alias("one"), F.col("doc_ids").alias("told"))
+    off = F.abs(F.col("told") - F.col("doc_ids")) / F.col("doc_ids")
+    return counted.join(told, "one").select("doc_ids", (off <= sketches.KEYS_WITHIN).alias("is_near"))
+
+
+def approximate_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least and greatest length, and whether the merged sketches' median has a rank near a half."""
+    told = _sketched(spark, sf_dir).first()
+    lengths = monitors.measured(kb_raw(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("content_length") < told["median_length"]).alias("below"),
+        F.count_if(F.col("content_length") <= told["median_length"]).alias("up_to"),
+    )
+    least, most = (0.5 - sketches.RANK_WITHIN) * F.col("n"), (0.5 + sketches.RANK_WITHIN) * F.col("n")
+    return lengths.select(
+        F.lit(told["n_rows"]).cast("bigint").alias("n_rows"),
+        F.lit(told["min_length"]).cast("bigint").alias("min_length"),
+        F.lit(told["max_length"]).cast("bigint").alias("max_length"),
+        ((F.col("below") <= most) & (F.col("up_to") >= least)).alias("is_near"),
+    )
+
+
+def evaluation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation that a run leaves as CSV, read again."""
+    root = _folder(spark)
+    asked = questions(spark, sf_dir)
+    done = run(spark, _by_source(_readable(kb_raw(spark, sf_dir))), root, NOW, questions=asked)
+    path = tables.partition_path(root, "evaluation_csv", done.run_id, done.attempt)
+    back = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path)
+    typed = {"question_id": "bigint", "before_correct": "boolean", "after_correct": "boolean"}
+    return back.withColumns({c: F.col(c).cast(t) for c, t in typed.items()})
+
+
+def load_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source's records and the hours since it was loaded; issues were never loaded."""
+    loaded = {"postgres": NOW - timedelta(hours=3), "file": NOW - timedelta(minutes=45)}
+    stats = canonical.source_stats(canonical.source_counts(kb_raw(spark, sf_dir)), loaded)
+    since = monitors.hours_since(monitors.utc("loaded_at", stats), monitors.utc_literal(NOW))
+    return stats.select("source_type", "n_rows", since.alias("hours"))
+
+
+def empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of what was cleaned from records of an undeclared source, of which there are none."""
+    return monitors.check_distribution(kb_raw(spark, sf_dir).where(~F.col("source_type").isin(*SOURCES)))
+
+
 ARTEFACTS = {
     q.__name__: q
     for q in (
         csv_round_trip, csv_positions, issues_round_trip, issue_arrays, raw_snapshot, published_store, published_topk, baseline_after_publish,
-        run_state_after_halt, gate_reason, rolled_back_store,
+        run_state_after_halt, gate_reason, rolled_back_store, approximate_keys, approximate_median,
+        evaluation_csv, load_times, empty_batch,
     )
 }

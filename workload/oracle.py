@@ -512,4 +512,15 @@ ORACLE |= {
         UNION ALL SELECT '2026-03-02T03:00', 'embedded_records', '', 0.0::DOUBLE, ''""",
     "rolled_back_store": f"""{_published("true")} SELECT ingest_seq AS chunk_order, doc_id, 'v0' AS version,
         effective_date, content AS text, 'file' AS source FROM cleaned WHERE source_type = 'file'""",
+    "approximate_keys": f"WITH {_KB} SELECT count(DISTINCT doc_id) AS doc_ids, true AS is_near FROM kb",
+    "approximate_median": f"""WITH {_KB} SELECT count(*) AS n_rows, min(length(content)) AS min_length,
+        max(length(content)) AS max_length, true AS is_near FROM kb""",
+    "evaluation_csv": f"""{_published("true")}, {_QUESTIONS}, {_store('clean_kb', 'cleaned')}, {_scores('clean_kb')},
+        {_store('raw_kb', 'mended')}, {_scores('raw_kb')}, {_EVALUATION} SELECT * FROM evaluation""",
+    "load_times": f"""WITH {_KB} SELECT source_type, count(*) AS n_rows,
+        CASE source_type WHEN 'postgres' THEN 3.0::DOUBLE WHEN 'file' THEN 0.75::DOUBLE END AS hours
+        FROM kb GROUP BY source_type""",
+    "empty_batch": f"""WITH {_KB} SELECT 'distribution' AS pillar, 'null_rate[effective_date]' AS name, 'WARN' AS status,
+        NULL::DOUBLE AS value, 'empty batch' AS detail FROM kb WHERE source_type NOT IN ('postgres', 'jira', 'file')
+        HAVING count(*) = 0""",
 }
