@@ -29,22 +29,27 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     return known.groupBy("conv_id", "turn").agg(said.alias("said")).select("conv_id", "turn", "said.*")
 
 
-def with_other_answer(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+def with_other_end(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected conversations (pair_id, turn, role, text) made of ordinary ones.
 
-    Chosen is a conversation up to its last assistant turn. Rejected is the same with that turn
-    said as conversation `conv_id xor 1` says its last one; if there is no such, it ends before.
-    A conversation without an assistant turn gives no pair.
+    Chosen is each whole conversation. Rejected is the same up to its pivot, an assistant turn, and
+    from there on what conversation `conv_id xor 1` says from its own pivot to its end; if there is no
+    such, it ends before. The pivot is the first assistant turn where conv_id / 2 is even, else the
+    last. A conversation without an assistant turn is rejected as it is chosen, hence prompt only.
     """
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
-    up_to = turns.join(last, "conv_id").where("turn <= last")
-    chosen = up_to.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    answers = up_to.where("turn = last").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), "role", "text")
-    before = chosen.join(last.withColumnRenamed("conv_id", "pair_id"), "pair_id").where("turn < last").drop("last")
-    other = last.join(answers, "conv_id").select(
-        F.col("conv_id").alias("pair_id"), F.col("last").alias("turn"), "role", "text"
+    answers = turns.where("role = 'assistant'").groupBy("conv_id")
+    is_first = F.expr("conv_id div 2 % 2 = 0")
+    pivots = answers.agg(F.min("turn").alias("first"), F.max("turn").alias("last")).select(
+        "conv_id", F.when(is_first, F.col("first")).otherwise(F.col("last")).alias("pivot")
     )
-    return chosen, before.unionByName(other)
+    placed = turns.join(pivots, "conv_id", "left")
+    pair = F.col("conv_id").alias("pair_id")
+    before = placed.where("pivot IS NULL OR turn < pivot").select(pair, "turn", "role", "text")
+    ends = placed.where("turn >= pivot").select(
+        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), (F.col("turn") - F.col("pivot")).alias("ahead"), "role", "text"
+    )
+    other = ends.join(pivots, "conv_id").select(pair, (F.col("pivot") + F.col("ahead")).alias("turn"), "role", "text")
+    return turns.select(pair, "turn", "role", "text"), before.unionByName(other)
 
 
 def _placed(segments: DataFrame) -> DataFrame:

@@ -19,15 +19,16 @@ ORACLE["op9_preference_format"] = r"""
 WITH turns AS (
     SELECT conv_id, turn, min(row(coalesce(role, ''), coalesce(text, ''))) AS said
     FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
-), last AS (
-    SELECT conv_id, max(turn) AS last FROM turns WHERE said[1] = 'assistant' GROUP BY conv_id
+), forks AS (
+    SELECT conv_id, CASE WHEN (conv_id // 2) % 2 = 0 THEN min(turn) ELSE max(turn) END AS fork
+    FROM turns WHERE said[1] = 'assistant' GROUP BY conv_id
 ), chosen AS (
-    SELECT conv_id AS pair_id, turn, said FROM turns JOIN last USING (conv_id) WHERE turn <= last
+    SELECT conv_id AS pair_id, turn, said FROM turns
 ), rejected AS (
-    SELECT pair_id, turn, said FROM chosen JOIN last ON pair_id = conv_id WHERE turn < last
+    SELECT conv_id AS pair_id, turn, said FROM turns LEFT JOIN forks USING (conv_id) WHERE fork IS NULL OR turn < fork
     UNION ALL
-    SELECT l.conv_id, l.last, t.said FROM last l
-    JOIN last o ON o.conv_id = xor(l.conv_id, 1) JOIN turns t ON t.conv_id = o.conv_id AND t.turn = o.last
+    SELECT p.conv_id, p.fork + t.turn - o.fork, t.said FROM forks p
+    JOIN forks o ON o.conv_id = xor(p.conv_id, 1) JOIN turns t ON t.conv_id = o.conv_id AND t.turn >= o.fork
 ), paired AS (
     SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, c.said AS c, r.said AS r
     FROM chosen c FULL JOIN rejected r ON c.pair_id = r.pair_id AND c.turn = r.turn

@@ -48,9 +48,9 @@ def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against the same with its neighbour's last answer."""
+    """Each whole conversation against the same with its neighbour's end from an answer on."""
     turns = chat.turns_of(table(spark, sf_dir, "conversations"))
-    return chat.format_preferences(*chat.with_other_answer(turns))
+    return chat.format_preferences(*chat.with_other_end(turns))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
