@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearfold.llm.common import id_and_bytes, ship
+from clearfold.llm.common import id_and_bytes, ship, texts_of
 
 # Classes of code points. The letters are those that contractions are made of.
 SPACE, OTHER_WHITE, DIGIT, SIGN, APOSTROPHE, LETTER, LETTER_STMD, LETTER_RV, LETTER_E, LETTER_L = range(10)
@@ -272,14 +272,15 @@ class Encoder:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encoder = Encoder(path)
     for batch in batches:
-        texts = batch.column("text").cast(pa.string()).to_pylist()
+        texts = texts_of(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(list(encoder.encode(texts)), pa.binary())], ["doc_id", "ids"]
         )
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids: the ids of each text as one binary value; null texts have no ids."""
+    """doc_id, ids: the ids of each text as one binary value; null texts have no ids, bytes that are
+    not UTF-8 are encoded as replacement characters."""
     return id_and_bytes(docs).mapInArrow(partial(_encoded, path=path), "doc_id long, ids binary")
 
 
@@ -299,7 +300,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: one row per row of `docs` (doc_id, text)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: one row per row of `docs` (doc_id, text).
+
+    Null and empty texts have no ids; rows that share an id, or have none, are rows of their own.
+    """
     return decode(encode(docs, path), path).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

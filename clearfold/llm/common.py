@@ -79,6 +79,11 @@ def id_and_bytes(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text, *more)
 
 
+def texts_of(column: pa.Array) -> list[str]:
+    """Texts of a column of texts or bytes; empty for null, bytes that are not UTF-8 replaced."""
+    return [(raw or b"").decode("utf-8", "replace") for raw in column.cast(pa.binary()).to_pylist()]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit integers (the finaliser of splitmix64)."""
     x = x ^ (x >> np.uint64(30))

@@ -92,7 +92,7 @@ class ExactDuplicates:
     def groups(self, maybe: DataFrame) -> DataFrame:
         best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id")))
         return maybe.groupBy("digest").agg(
-            best["doc_id"].alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+            best["doc_id"].alias("keep_id"), F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("group_size")
         )
 
     def result(self) -> DataFrame:
@@ -105,11 +105,11 @@ class ExactDuplicates:
         groups = self.groups(maybe)
         is_hot = F.col("group_size") * HOT_SHARE >= self.n_rows
         hot = maybe.select("doc_id", "digest").join(
-            F.broadcast(groups.where(is_hot).withColumn("hot", F.lit(True))), "digest", "left"
+            F.broadcast(groups.where(is_hot).drop("n_chars").withColumn("hot", F.lit(True))), "digest", "left"
         )
         rest = hot.where(F.col("hot").isNull()).select("doc_id", "digest")
         columns = ["doc_id", "keep_id", "group_size", "digest"]
-        rest = rest.join(groups.where(~is_hot), "digest").select(columns)
+        rest = rest.join(groups.where(~is_hot).drop("n_chars"), "digest").select(columns)
         both = alone.unionByName(hot.where("hot").select(columns)).unionByName(rest)
         return both.select(
             "doc_id", "keep_id", "group_size",
@@ -120,13 +120,18 @@ class ExactDuplicates:
     def distinct(self, docs: DataFrame) -> DataFrame:
         """The rows of `docs` that stay, one for each group, with all their columns.
 
-        Rows that have no copy are not moved; of the others only those that stay are.
+        Rows that have no copy are not moved; of the others only those that stay are. Of rows that
+        share the id that stays, the longest text does, of equally long ones any.
         """
-        whole = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.struct("*").alias("row"))
+        n_chars = F.length(F.coalesce("text", F.lit("")))
+        whole = docs.select(
+            "doc_id", n_chars.alias("n_chars"), digest(F.col("text")).alias("digest"), F.struct("*").alias("row")
+        )
         rows = with_maybe(whole, self.field, self.blocks)
         narrow = with_maybe(self.digests, self.field, self.blocks).where("maybe")
-        stays = self.groups(narrow).select("digest", F.col("keep_id").alias("doc_id"))
+        stays = self.groups(narrow).select("digest", F.col("keep_id").alias("doc_id"), "n_chars")
         maybe = rows.where("maybe")
         same = maybe["digest"].eqNullSafe(stays["digest"]) & maybe["doc_id"].eqNullSafe(stays["doc_id"])
+        same = same & (maybe["n_chars"] == stays["n_chars"])
         copies = maybe.join(stays, same, "left_semi").dropDuplicates(["doc_id", "digest"])
         return rows.where(~F.col("maybe")).select("row.*").unionByName(copies.select("row.*"))

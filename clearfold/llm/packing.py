@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from clearfold.llm.common import id_and_bytes, mix, seeds
+from clearfold.llm.common import id_and_bytes, mix, seeds, texts_of
 
 LENGTH = 2048
 END_ID = 1
@@ -218,9 +218,8 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: i
         return pa.RecordBatch.from_arrays(arrays, NAMES)
 
     for batch in batches:
-        texts = batch.column("text").cast(pa.string())
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
-            own = tokenizer.encode(text.as_py())
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
+            own = tokenizer.encode(text)
             ids.append(doc_id)
             terms.append(tokenizer.terms(own))
             tokens.append(np.append(own, np.uint32(end_id)))
@@ -235,7 +234,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece.
 
     A document's ids are those of the tokenizer file `path`, then `end_id`; null texts count as
-    empty and give that one id. Rows that share a doc_id are packed as documents of their own.
+    empty and give that one id, bytes that are not UTF-8 as replacement characters. Rows that share a doc_id are packed as documents of their own.
     """
     rows = id_and_bytes(docs)
     return rows.mapInArrow(partial(_packed, path=path, length=length, end_id=end_id), ", ".join(f"{n} long" for n in NAMES))

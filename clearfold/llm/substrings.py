@@ -190,15 +190,23 @@ def _rewritten(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Re
         new = []
         for cut in _removed([narrow], window, False):
             pairs = zip(cut.column("n_removed").to_pylist(), cut.column("kept").to_pylist())
-            new += [kept.decode() if gone else None for gone, kept in pairs]
+            new += [kept.decode("utf-8", "replace") if gone else None for gone, kept in pairs]
         columns[place] = pc.coalesce(pa.array(new, pa.string()), same)
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
 
 def rewrite(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` with repeats cut out of `text`; everything else stays, white space too."""
+    """The rows of `docs` with repeats cut out of `text`; everything else stays, white space too.
+
+    Null texts stay null. Rows that share an id are one document; columns may have any names.
+    """
     found = repeated_windows(docs, window).groupBy(F.col("doc_id").alias("repeated_in"))
     found = found.agg(F.collect_set("value").alias("repeated_values"))
-    rows = docs.alias("docs").join(found.alias("found"), F.col("docs.doc_id") == F.col("found.repeated_in"), "left")
-    rows = rows.select("docs.*", F.col("found.repeated_values"))
+    rows = docs.select(F.col("doc_id").alias("of"), F.struct("*").alias("row")).join(
+        found, F.col("of") == F.col("repeated_in"), "left"
+    )
+    # The row's own columns and, last, the values: by place, as their names may be anything.
+    taken = set(map(str.lower, docs.columns))
+    last = next(n for n in (f"repeated{i}" for i in range(len(taken) + 1)) if n not in taken)
+    rows = rows.select("row.*", F.col("repeated_values").alias(last))
     return rows.mapInArrow(partial(_rewritten, window=window), docs.schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearfold.llm.common import id_and_bytes, remainder
+from clearfold.llm.common import id_and_bytes, remainder, ship, texts_of
 
 # What looks like a Latin letter, in pairs.
 HOMOGLYPHS = (
@@ -127,7 +127,15 @@ class Matcher:
                 cancelled.append((begin, end))
             else:
                 best[begin] = max(weight, best.get(begin, -math.inf))
-        return [(b, w) for b, w in best.items() if not any(s <= b < e for s, e in cancelled)]
+        cancelled.sort()
+        found, at, until = [], 0, -1
+        for begin in sorted(best):
+            while at < len(cancelled) and cancelled[at][0] <= begin:
+                until = max(until, cancelled[at][1])
+                at += 1
+            if begin >= until:
+                found.append((begin, best[begin]))
+        return found
 
     def measure(self, text: str) -> tuple[float, int]:
         """Sum of weights, and number of words."""
@@ -250,12 +258,17 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score: one row per row of `docs`; null texts are scored as empty ones."""
+    """doc_id, score: one row per row of `docs`; null texts are scored as empty ones, bytes that are
+    not UTF-8 as replacement characters."""
     return id_and_bytes(docs).mapInArrow(partial(_scored, model=model), "doc_id long, score double")
 
 
 def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row of `docs`, learned from the others' labels."""
+    """doc_id, held_out, score, predicted of every row of `docs`, learned from the others' labels.
+
+    Rows that share an id are scored each by its own text, and all learned from if the id is labelled;
+    a null id has no label.
+    """
     scored = score(docs, learn(docs, labels, settings))
     return scored.select(
         "doc_id",
@@ -268,11 +281,12 @@ def judge(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 def _kept(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     matcher = Matcher(model)
     for batch in batches:
-        clean = [matcher.score(text or "") < 0.5 for text in batch.column("text").to_pylist()]
+        clean = [matcher.score(text) < 0.5 for text in texts_of(batch.column("text"))]
         yield batch.filter(pa.array(clean, pa.bool_()))
 
 
 def reject(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs` that score below 0.5, as they are."""
-    id_and_bytes(docs)
+    """The rows of `docs` that score below 0.5, as they are, one by one: nulls are scored as empty
+    texts, bytes that are not UTF-8 as replacement characters, and ids are not looked at."""
+    ship(docs.sparkSession)
     return docs.mapInArrow(partial(_kept, model=model), docs.schema)
