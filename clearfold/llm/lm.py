@@ -11,7 +11,7 @@ The automaton grows with the corpus and is on no machine as a whole. Documents a
 of about four megabytes. A block sends its distinct n-grams, as sorted hashes, to the parts of the
 hash range; a part adds the training counts of all blocks and answers each block for what it sent.
 A block then holds the part of the automaton that its texts can reach, and they are traversed from
-left to right, each step taking an arc or failing, all texts of the block side by side.
+left to right, each step taking the token's arc or, as often as there is none, failing first.
 
 Two different n-grams share a hash with a probability of 2**-64.
 """
@@ -65,21 +65,29 @@ class Grams:
         self.place = np.arange(len(tokens)) - np.repeat(self.firsts, self.sizes)
         held_out = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         self.trains = np.repeat(~held_out, self.sizes)
+        self._which: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.orders = []
         total = np.zeros(len(tokens), np.uint64)
         for k in range(order):
             total[k:] += tokens[: len(tokens) - k] * _GRAM[k]
             self.orders.append(mix(total + np.uint64(k)))
 
-    def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the n-grams of k + 1 tokens, ascending; number of each in training texts; and
-        for each token which one ends there, -1 where the text has no k tokens before it."""
+    def distinct(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the n-grams of k + 1 tokens, ascending, and the number of each in training texts."""
         whole = self.place >= k
         keys, inverse = np.unique(self.orders[k][whole], return_inverse=True)
-        counts = np.bincount(inverse[self.trains[whole]], minlength=len(keys))
-        which = np.full(len(whole), -1)
-        which[whole] = inverse
-        return keys, counts, which
+        return keys, np.bincount(inverse[self.trains[whole]], minlength=len(keys))
+
+    def which(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each token, which of the n-grams of k + 1 tokens ends there, in order of hashes, -1 where
+        the text has no k tokens before it; and a token at which each n-gram ends."""
+        if k not in self._which:
+            whole = np.flatnonzero(self.place >= k)
+            _, first, inverse = np.unique(self.orders[k][whole], return_index=True, return_inverse=True)
+            which = np.full(len(self.place), -1)
+            which[whole] = inverse
+            self._which[k] = which, whole[first]
+        return self._which[k]
 
 
 def _count(table: pa.Table, order: int, bits: int) -> pa.Table:
@@ -87,7 +95,7 @@ def _count(table: pa.Table, order: int, bits: int) -> pa.Table:
     block = table.column("block")[0].as_py()
     rows = []
     for k in range(order):
-        keys, counts, _ = grams.distinct(k)
+        keys, counts = grams.distinct(k)
         part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         begins = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)]):
@@ -138,30 +146,83 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table([*columns, answers, [own[0], *none], [own[1], *none]], schema=_ANSWER)
 
 
+class Automaton:
+    """The part of the automaton that the texts of a block can reach.
+
+    State 0 is the empty one; every other is an n-gram, shorter than the order, that training has seen.
+    `arcs` leads from state * tokens + token to the arc's number, `target` and `worth` from there to the
+    next state and the log10 probability; `shorter` and `loss` are the failure arcs' states and log10
+    weights, and `unseen` is what a token without any arc is worth in state 0.
+    """
+
+    def __init__(self, grams: Grams, totals: list[np.ndarray], order: int, strength: float, tokens: int, distinct: int):
+        self.n_tokens = len(totals[0])
+        shorter, loss, states = [np.zeros(1, np.int64)], [np.zeros(1)], 1
+        keys, target, worth = [], [], []
+        which = state = counts = probability = None
+        token_of = grams.which(0)[0]
+        for k in range(order):
+            own_which, first = grams.which(k)
+            own = totals[k]
+            seen = own > 0
+            if k == 0:
+                leads, follows = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+                own_probability = (own + 1) / (tokens + distinct + 1)
+            else:
+                context, suffix = which[first - 1], which[first]
+                leads, follows = state[context], state[suffix]
+                own_probability = (own + strength * probability[suffix]) / (counts[context] + strength)
+            own_state = np.zeros(len(own), np.int64)
+            if k < order - 1:
+                own_state[seen] = np.arange(states, states + int(seen.sum()))
+                states += int(seen.sum())
+                shorter.append(follows[seen])
+                loss.append(np.log10(strength / (own[seen] + strength)))
+            keys.append((leads * self.n_tokens + token_of[first])[seen])
+            target.append((own_state if k < order - 1 else follows)[seen])
+            worth.append(np.log10(own_probability[seen]))
+            which, state, counts, probability = own_which, own_state, own, own_probability
+        self.shorter, self.loss = np.concatenate(shorter).tolist(), np.concatenate(loss).tolist()
+        self.arcs = {key: arc for arc, key in enumerate(np.concatenate(keys).tolist())}
+        self.target, self.worth = np.concatenate(target).tolist(), np.concatenate(worth).tolist()
+        self.unseen = -math.log10(tokens + distinct + 1)
+
+    def score(self, tokens: list[int]) -> float:
+        """log10 probability of a text: one pass over its tokens, the state carried along."""
+        arcs, target, worth, n = self.arcs, self.target, self.worth, self.n_tokens
+        shorter, loss = self.shorter, self.loss
+        state, steps = 0, []
+        for token in tokens:
+            arc = arcs.get(state * n + token)
+            while arc is None and state:
+                steps.append(loss[state])
+                state = shorter[state]
+                arc = arcs.get(state * n + token)
+            if arc is None:
+                steps.append(self.unseen)
+            else:
+                steps.append(worth[arc])
+                state = target[arc]
+        return math.fsum(steps)
+
+
 def _traverse(docs: pa.Table, answers: pa.Table, order: int, strength: float, tokens: int, distinct: int) -> pa.Table:
     grams = Grams(docs, order)
     replies: dict[int, list[tuple[int, bytes]]] = {k: [] for k in range(order)}
     for r in answers.select(["gram", "part", "totals"]).to_pylist():
         replies[r["gram"]].append((r["part"], r["totals"]))
-    base = probability = seen = before = None
-    for k in range(order):
-        _, _, which = grams.distinct(k)
-        totals = np.concatenate([np.zeros(0), *(_unpacked_counts(t) for _, t in sorted(replies[k]))])
-        arc = np.where(which >= 0, totals[which] if len(totals) else 0.0, 0.0)
-        if k == 0:
-            seen = arc
-            base = probability = (arc + 1) / (tokens + distinct + 1)
-        else:
-            state = np.concatenate([[0.0], before[:-1]])
-            state[grams.place < k] = 0.0
-            passed = strength / (state + strength)
-            probability = np.where(arc > 0, arc / (state + strength), 0.0) + passed * probability
-        before = arc
-    sums = [np.add.reduceat(np.log10(p), grams.firsts) for p in (base, probability)]
+    totals = [
+        np.concatenate([np.zeros(0, np.int64), *(_unpacked_counts(t) for _, t in sorted(replies[k]))]) for k in range(order)
+    ]
+    automaton = Automaton(grams, totals, order, strength, tokens, distinct)
+    which, _ = grams.which(0)
+    seen = totals[0][which]
+    base = np.add.reduceat(np.log10((seen + 1) / (tokens + distinct + 1)), grams.firsts)
     known = np.add.reduceat((seen > 0).astype(np.int64), grams.firsts)
+    sums = [automaton.score(which[a : a + n].tolist()) for a, n in zip(grams.firsts.tolist(), grams.sizes.tolist())]
     n = len(docs)
     return pa.table(
-        [docs.column("doc_id"), docs.column("held_out"), grams.sizes, known, np.full(n, tokens), *sums],
+        [docs.column("doc_id"), docs.column("held_out"), grams.sizes, known, np.full(n, tokens), base, np.array(sums)],
         names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     )
 

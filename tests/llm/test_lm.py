@@ -43,7 +43,7 @@ def found(docs, **settings):
     return sorted(map(tuple, rows.collect()), key=str)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_against_brute_force(docs_of, monkeypatch, order):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 300)
     texts = [f"The cat {k % 7} sat\non the MAT {k % 5} the end" for k in range(60)]
