@@ -91,12 +91,31 @@ WITH d AS (
 ), wc AS (
     SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(words) AS word FROM base) GROUP BY lang, word
 ), tot AS (
-    SELECT lang, sum(n) AS total FROM wc GROUP BY lang ORDER BY total DESC, lang LIMIT 16
+    SELECT lang, sum(n) AS total FROM wc GROUP BY lang HAVING sum(n) >= 1000 ORDER BY total DESC, lang LIMIT 16
 ), ranked AS (
-    SELECT lang, word, n / total AS share, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r
-    FROM wc JOIN tot USING (lang) QUALIFY r <= 10
+    SELECT lang, word, n, total, n / total AS share, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r
+    FROM wc JOIN tot USING (lang) QUALIFY r <= 200
 ), wref AS (
-    SELECT lang AS ref, list(word ORDER BY r) AS ref_words, list(share ORDER BY r) AS shares FROM ranked GROUP BY lang
+    SELECT lang AS ref, list(word ORDER BY r) AS ref_words, list(share ORDER BY r) AS shares
+    FROM ranked WHERE r <= 10 GROUP BY lang
+), freq AS (
+    SELECT lang AS ref, sum(n)::DOUBLE / (any_value(total) + 1) AS share FROM ranked GROUP BY lang
+), spoken AS (
+    SELECT doc_id, unnest(words) AS word FROM base WHERE len(words) >= 60
+), held AS (
+    SELECT doc_id, r.lang AS ref, count(*) AS n FROM spoken JOIN ranked r USING (word) GROUP BY doc_id, r.lang
+), dev AS (
+    SELECT b.doc_id, b.lang, f.ref,
+        (coalesce(h.n, 0)::DOUBLE / n_words - share) / sqrt(share * (1 - share) / n_words) AS d
+    FROM base b CROSS JOIN freq f LEFT JOIN held h ON h.doc_id = b.doc_id AND h.ref = f.ref WHERE n_words >= 60
+), bins AS (
+    SELECT lang, least(floor(abs(d) * 100), 10000) AS bin, count(*) AS n FROM dev WHERE lang = ref GROUP BY ALL
+), upto AS (
+    SELECT lang, bin, sum(n) OVER (PARTITION BY lang ORDER BY bin) AS up_to, sum(n) OVER (PARTITION BY lang) AS total FROM bins
+), spread AS (
+    SELECT lang AS ref, greatest((min(bin) + 0.5::DOUBLE) / 100 / 0.6745::DOUBLE, 1) AS s FROM upto WHERE up_to * 2 >= total GROUP BY lang
+), missing AS (
+    SELECT doc_id, min(-d / coalesce(s, 1)) AS m FROM dev LEFT JOIN spread USING (ref) GROUP BY doc_id
 ), csum AS (
     SELECT lang AS ref, list_value(sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]),
         sum(classes[5]), sum(classes[6]), sum(classes[7])) AS sums FROM classed GROUP BY lang
@@ -123,8 +142,11 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
     (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-        AND (n_chars < 200 OR coalesce(dc, 0) <= 0.30) AND (n_words < 60 OR coalesce(dw, 0) <= 0.31)) AS kept
-FROM classed LEFT JOIN dist USING (doc_id)
+        AND CASE WHEN lang IN (SELECT ref FROM wref)
+            THEN (n_chars < 200 OR coalesce(dc, 0) <= 0.30) AND (n_words < 60 OR coalesce(dw, 0) <= 0.31) AND coalesce(m, 0) <= 3.5
+            ELSE n_words < 60 OR word_chars > 12 * n_words OR n_words - len(list_distinct(words)) >= 0.01::DOUBLE * n_words
+            END) AS kept
+FROM classed LEFT JOIN dist USING (doc_id) LEFT JOIN missing USING (doc_id)
 """
 
 ORACLE["op1_near_duplicates"] = r"""

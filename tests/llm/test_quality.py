@@ -56,6 +56,30 @@ def test_texts_without_common_words_are_rejected(docs_of):
         assert not found[i]["kept"] and not found[i]["base_failed"] and found[i]["word_distance"] <= 0.31
 
 
+def test_gibberish_of_any_length_is_rejected_also_alone_in_a_language(spark):
+    rng = random.Random(9)
+    own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(4000)]
+    common = ["the", "of", "and", "to", "in", "is", "it", "was", "on", "for"]
+    prose = [" ".join(rng.choice(common) if rng.random() < 0.165 else rng.choice(own[:80] if rng.random() < 0.2 else own)
+                      for _ in range(150)) for _ in range(80)]
+    consonants = {(lang, n): " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(n))
+                  for lang in ("en", "zz", "yy", None) for n in (60, 120, 400)}
+    swapped = [" ".join(w[::-1] for w in prose[0].split())]
+    docs = [(t, "en") for t in prose] + [(t, lang) for (lang, _), t in consonants.items()] + [(swapped[0], "xx")]
+    found = rows(spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "doc_id long, text string, lang string"))
+    assert all(found[i]["kept"] for i in range(80))
+    for i, key in enumerate(consonants, 80):
+        assert not found[i]["kept"] and not found[i]["base_failed"], key
+        assert (found[i]["missing"] is None) == (key[0] != "en")
+    assert found[len(docs) - 1]["kept"]
+
+
+def test_texts_without_spaces_between_words_are_not_held_against_a_small_language(spark):
+    text = " ".join(chr(0x4E00 + 7 * k) * 20 for k in range(70))
+    (row,) = quality.quality(spark.createDataFrame([(1, text, "zh")], "doc_id long, text string, lang string")).collect()
+    assert row["kept"] and row["missing"] is None
+
+
 def test_smaller_languages_have_references_of_their_own(spark):
     rng = random.Random(8)
 
