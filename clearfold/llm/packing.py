@@ -30,8 +30,9 @@ K1, B = 1.2, 0.75
 # rows over all of them, which add up faster than postings.
 COMMON_SHARE = 4
 
-# Fixed value: the pattern of the tokenizer's pre-tokenisation.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the pattern of the tokenizer's pre-tokenisation. What needs no look ahead is one group, which
+# matches the same and is not tried branch by branch.
+PATTERN = r"""(?:'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)|\s+(?!\S)|\s+"""
 
 
 def _bytes_of() -> dict[str, int]:
@@ -57,14 +58,15 @@ class PackTokenizer:
 
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
-        self.specials = [t["content"] for t in content["added_tokens"]]
+        self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
         vocabulary = {t: i for t, i in content["model"]["vocab"].items() if t not in self.specials}
         merges = [m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"]]
         if any(vocabulary["".join(m)] != 256 + k for k, m in enumerate(merges)):
             raise ValueError("the ids do not follow the merges")
         of = _bytes_of()
         ranks = {bytes(of[c] for c in token): i for token, i in vocabulary.items()}
-        self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # Without special tokens to look for, tiktoken stops at every character of a text to look for one.
+        self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.specials)
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.begins = np.ones(size, bool)
